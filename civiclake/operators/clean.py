@@ -13,12 +13,16 @@ def require(df: DataFrame, names: list[str]) -> DataFrame:
     return df.where(all_true([F.col(name).isNotNull() for name in names]))
 
 
-def valid_interval(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows whose interval is still open or ends after it starts.
+def is_valid_interval(start: str, end: str) -> Column:
+    """True while the interval is open or if it ends after it starts, else false, never NULL.
 
-    An unknown start passes only while the end is unknown too; equal times do not pass.
+    An unknown start is valid only while the end is unknown too; equal times are not valid.
     """
-    return df.where(F.col(end).isNull() | (F.col(end) > F.col(start)))
+    return F.coalesce(F.col(end).isNull() | (F.col(end) > F.col(start)), F.lit(False))
+
+
+def valid_interval(df: DataFrame, start: str, end: str) -> DataFrame:
+    return df.where(is_valid_interval(start, end))
 
 
 def project(df: DataFrame, spec: dict[str, Column]) -> DataFrame:

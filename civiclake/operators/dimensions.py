@@ -30,5 +30,9 @@ def centroid_dim(df: DataFrame, key: str, columns: list[str], measures: list[str
 
 
 def literal_dim(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
-    """A fixed lookup table with declared types."""
-    return spark.createDataFrame(rows, schema)
+    """A fixed lookup table with declared types, as literals in the plan."""
+    structs = [
+        F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))

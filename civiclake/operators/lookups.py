@@ -9,7 +9,8 @@ from pyspark.sql.types import StringType
 from civiclake.functions.labels import all_true
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 32
+HOT_SHARE = 1000  # a value is hot if it holds more than 1/1000 of the rows, so fewer than 1000 values can be
+SALTS = 64
 
 
 def data_bytes(df: DataFrame) -> int:
@@ -30,26 +31,52 @@ def lookup_key(
     on: dict[str, str],
     null_safe: list[str] = (),
     spread: list[str] | None = None,
+    count_in: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the dimension's ``key`` to every row of ``fact``; NULL where nothing matches.
 
     ``on`` maps fact columns to the dimension's columns and must cover the dimension's whole grain, so the row count
     stays. Columns in ``null_safe`` match NULL with NULL; in the others NULL matches nothing. A dimension measured to
-    be small is broadcast. A larger one is joined by a shuffle in which both sides carry a salt: the rows of one hot
-    value (or of NULL) spread over ``SALTS`` tasks, and each row still meets its dimension row exactly once. The salt is
-    a hash of the ``spread`` columns (default: all), so a re-run task gives the same one.
+    be small is broadcast; for a larger one see ``_shuffled``. There ``spread`` are columns that differ between rows
+    (default: all), and ``count_in`` is a table with the same key values, where that is cheaper to read than ``fact``.
     """
     small = dim.select(F.col(key), *[F.col(theirs).alias(f"_dim_{ours}") for ours, theirs in on.items()])
-    match = [_equal(fact[ours], F.col(f"_dim_{ours}"), ours in null_safe) for ours in on]
     if data_bytes(small) <= broadcast_bytes:
+        match = [_equal(fact[ours], F.col(f"_dim_{ours}"), ours in null_safe) for ours in on]
         joined = fact.join(F.broadcast(small), all_true(match), "left")
         return joined.select(*[fact[name] for name in fact.columns], F.col(key))
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*(spread or fact.columns)), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    match = [_equal(salted[ours], F.col(f"_dim_{ours}"), ours in null_safe) for ours in on]
+    hot = _hot_values(count_in or fact, list(on))
+    return _shuffled(fact, small, key, list(on), null_safe, spread or fact.columns, hot)
+
+
+def _hot_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The values that hold a large share of the rows, NULL included. Fewer than ``HOT_SHARE`` rows by definition."""
+    rows = df.count()
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") * HOT_SHARE > rows).select(
+        *[F.col(name).alias(f"_hot_{name}") for name in columns], F.lit(True).alias("_hot")
+    )
+
+
+def _shuffled(fact: DataFrame, small: DataFrame, key: str, on: list[str], null_safe: list[str], spread: list[str],
+              hot: DataFrame) -> DataFrame:
+    """The lookup as a shuffle join. Rows with a hot value are dealt out to ``SALTS`` tasks, each with its own copy of
+    that dimension row; all other dimension rows move once. The salt is a hash of the row, so a re-run task deals alike.
+    """
+    is_hot = [F.col(name).eqNullSafe(F.col(f"_hot_{name}")) for name in on]
+    dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0))
+    rows = fact.join(F.broadcast(hot), all_true(is_hot), "left").select(
+        *[F.col(name).alias(f"_key_{name}") for name in on], dealt.cast("int").alias("_salt"), *fact.columns
+    )
+    is_hot = [F.col(f"_dim_{name}").eqNullSafe(F.col(f"_hot_{name}")) for name in on]
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dims = small.join(F.broadcast(hot), all_true(is_hot), "left").select(
+        *small.columns, F.explode(copies).alias("_dim_salt")
+    )
+    match = [_equal(F.col(f"_key_{name}"), F.col(f"_dim_{name}"), name in null_safe) for name in on]
     match.append(F.col("_salt") == F.col("_dim_salt"))
-    return salted.join(copies, all_true(match), "left").select(*fact.columns, key)
+    return rows.join(dims, all_true(match), "left").select(*fact.columns, key)
 
 
 def _equal(left: Column, right: Column, null_safe: bool) -> Column:

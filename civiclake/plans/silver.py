@@ -6,19 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.functions.text import blank_to_null, clock_time, nonzero_number, title_text, upper_text, whole_number
-from civiclake.operators.clean import project, require, valid_interval
+from civiclake.operators.clean import is_valid_interval, project, require, valid_interval
 from civiclake.operators.dedupe import keep_first
 from civiclake.rules import TIMESTAMP_TEXT
 from civiclake.schemas import SILVER
 
 KEY = "unique_key"
+_TIMES = ["created_date", "closed_date"]
+_USED = [
+    "unique_key", "agency", "agency_name", "problem", "problem_detail", "borough", "city", "incident_zip",
+    "incident_address", "status", "open_data_channel_type", "latitude", "longitude",
+]
 
 
-def cleaning_spec() -> dict[str, Column]:
+def time_spec() -> dict[str, Column]:
+    return {name: clock_time(name, TIMESTAMP_TEXT) for name in _TIMES}
+
+
+def text_spec() -> dict[str, Column]:
     return {
         "request_id": whole_number("unique_key"),
-        "created_date": clock_time("created_date", TIMESTAMP_TEXT),
-        "closed_date": clock_time("closed_date", TIMESTAMP_TEXT),
         "agency_code": upper_text("agency"),
         "agency_name": title_text("agency_name"),
         "complaint_type": title_text("problem"),
@@ -34,6 +41,12 @@ def cleaning_spec() -> dict[str, Column]:
     }
 
 
+def cleaning_spec() -> dict[str, Column]:
+    """All cleaned columns out of raw ones, in table order."""
+    spec = {**time_spec(), **text_spec()}
+    return {name: spec[name] for name in SILVER.names}
+
+
 def clean_rows(bronze: DataFrame) -> DataFrame:
     """Cleaned rows with a valid interval, duplicates included, with their raw key. Runs on a stream too."""
     present = require(bronze, [KEY, "created_date"])
@@ -42,7 +55,16 @@ def clean_rows(bronze: DataFrame) -> DataFrame:
 
 
 def silver(bronze: DataFrame) -> DataFrame:
-    """The earliest valid row of every unique key. All other columns break ties, so the result is always the same."""
-    ties = [name for name in SILVER.names if name != "created_date"]
-    ties.insert(0, ties.pop(ties.index("closed_date")))
-    return keep_first(clean_rows(bronze), [KEY], ["created_date"], ties).select(*SILVER.names)
+    """The earliest valid row of every unique key, cleaned. The raw texts break ties, so the result is always the same.
+
+    Times are parsed first, once, and duplicates go before the other columns are cleaned. An invalid row sorts behind
+    every valid one of its key, so it is first only where no valid row exists, and then the key is dropped: a filter in
+    front would parse the times a second time.
+    """
+    timed = project(require(bronze, [KEY, "created_date"]), {
+        **{name: F.col(name) for name in _USED}, **time_spec()
+    })
+    flagged = timed.withColumn("_invalid", ~is_valid_interval(*_TIMES))
+    first = keep_first(flagged, [KEY], ["_invalid", *_TIMES], _USED[1:]).where(~F.col("_invalid"))
+    cleaned = {**{name: F.col(name) for name in _TIMES}, **text_spec()}
+    return project(first, {name: cleaned[name] for name in SILVER.names})

@@ -50,7 +50,9 @@ def requests(silver: DataFrame, agency: DataFrame, location: DataFrame, complain
     ]
     rows = silver
     for dim, key, on, null_safe in lookups:
-        rows = lookup_key(rows, dim, key, on, null_safe, spread=["request_id", "created_date", "closed_date"])
+        rows = lookup_key(
+            rows, dim, key, on, null_safe, spread=["request_id", "created_date", "closed_date"], count_in=silver
+        )
     return rows.withColumns({
         "date_key": date_key(F.col("created_date")),
         "resolution_hours": elapsed_hours(F.col("created_date"), F.col("closed_date")),

@@ -42,7 +42,10 @@ _SILVER = [
     "request_id", "created_date", "closed_date", "agency_code", "agency_name", "complaint_type", "descriptor",
     "borough", "city", "incident_zip", "incident_address", "status", "channel", "latitude", "longitude",
 ]
-_FIRST = ["created_date", "closed_date"] + [name for name in _SILVER if name not in ("created_date", "closed_date")]
+_FIRST = [f"try_strptime({name}, {_TIME})" for name in ("created_date", "closed_date")] + [
+    "agency", "agency_name", "problem", "problem_detail", "borough", "city", "incident_zip", "incident_address",
+    "status", "open_data_channel_type", "latitude", "longitude",
+]
 
 
 def _nulls_first(names: list[str]) -> str:
@@ -58,8 +61,10 @@ _TABLES = {
     "raw": RAW_SQL,
     "clean": f"""select * from (select unique_key, {_CLEAN_COLUMNS} from raw
  where unique_key is not null and created_date is not null) where closed_date is null or closed_date > created_date""",
-    "silver": f"""select {', '.join(_SILVER)} from (select *, row_number() over (partition by unique_key
- order by {_nulls_first(_FIRST)}) as place from clean) where place = 1""",
+    "silver": f"""select {', '.join(_SILVER)} from (select {_CLEAN_COLUMNS}, row_number() over (partition by unique_key
+ order by {_nulls_first(_FIRST)}) as place from raw where unique_key is not null and created_date is not null
+ and (closed_date is null or coalesce(try_strptime(closed_date, {_TIME}) > try_strptime(created_date, {_TIME}),
+ try_strptime(closed_date, {_TIME}) is null))) where place = 1""",
     "dates": f"select distinct {_CALENDAR.format('created_date')} from silver where created_date is not null",
     "agency": f"""select row_number() over (order by {_nulls_first(['agency_code', 'agency_name'])}) as agency_key, *,
  {_SEGMENT.format('agency_code')} as agency_type from (select distinct agency_code, agency_name from silver)""",
