@@ -1,0 +1,53 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from civiclake.rules import RAW_COLUMNS  # noqa: E402
+from civiclake.schemas import BRONZE  # noqa: E402
+from civiclake.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
+    session = build_session(
+        "tests", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(folder / "shared"), spark__sql__warehouse__dir=str(folder / "warehouse"),
+        spark__driver__memory="6g",
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def bronze_rows(spark):
+    """Builds a bronze table out of partly filled rows."""
+
+    def make(*rows: dict):
+        filled = [tuple(row.get(name) for name in RAW_COLUMNS) for row in rows]
+        return spark.createDataFrame(filled, BRONZE)
+
+    return make
+
+
+def request(key, created="01/02/2015 01:00:00 AM", closed=None, **columns):
+    """A raw row with plain values."""
+    plain = {"agency": "NYPD", "agency_name": "police", "problem": "Noise", "borough": "queens", "city": "rego park",
+             "incident_zip": "1", "status": "Open", "open_data_channel_type": "phone"}
+    return {"unique_key": key, "created_date": created, "closed_date": closed, **plain, **columns}
+
+
+def values(df, *names):
+    """The rows as a sorted list of tuples."""
+    rows = [tuple(row[name] for name in names or df.columns) for row in df.collect()]
+    return sorted(rows, key=lambda row: [(value is not None, value) for value in row])
+
+
+def plan_of(df) -> str:
+    """The physical plan's text."""
+    return df._jdf.queryExecution().executedPlan().toString()
