@@ -1,0 +1,79 @@
+"""Contract checks."""
+
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from civiclake import rules, schemas
+from civiclake.operators.quality import fk_violations, judge, measure, null_violations, percent, pk_violations
+from civiclake.plans import checks, star
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    facts = [(i, 20150101, None if i < 2 else 1, None if i < 15 else 1 + i % 2, 1, 1, -1 if i == 3 else None if i > 50 else i)
+             for i in range(100)] + [(5, 20150102, 7, 1, 1, 1, 3)]
+    return {
+        "requests": spark.createDataFrame(facts, schemas.REQUESTS),
+        "date": spark.createDataFrame([(20150101, None, 2015, 1, 1, "Thursday", False, "Winter")], schemas.DATE),
+        "agency": spark.createDataFrame([(1, "A", None, "t"), (1, None, "n", "t")], schemas.AGENCY),
+        "location": spark.createDataFrame(
+            [(1, "BRONX", None, None, None, None), (2, "ELSEWHERE", "1", "c", 1.0, 2.0)], schemas.LOCATION),
+        "complaint": spark.createDataFrame([(1, None, "Other")], schemas.COMPLAINT),
+        "status": star.status(spark),
+    }
+
+
+def test_quality_report(tables):
+    got = {r.metric: (r.value, r.comparison, r.threshold, r.severity, r.passed)
+           for r in checks.quality_report(tables["requests"], tables["location"]).collect()}
+    assert got == {
+        "row_count": (101.0, ">", 0.0, "error", True),
+        "completeness_agency_key": (pytest.approx(100 * 99 / 101), ">", 98.0, "error", True),
+        "completeness_location_key": (pytest.approx(100 * 86 / 101), ">", 90.0, "warning", False),
+        "completeness_date_key": (100.0, ">", 95.0, "warning", True),
+        "validity_resolution_hours": (pytest.approx(100 * 51 / 52), "=", 100.0, "error", False),
+        "consistency_borough": (50.0, "=", 100.0, "error", False),
+    }
+
+
+def test_empty_fact_does_not_pass(tables):
+    report = checks.quality_report(tables["requests"].limit(0), tables["location"].limit(0))
+    assert {r.metric: r.passed for r in report.collect()} == {name: False for name in rules.QUALITY_LIMITS}
+
+
+def test_limits_are_strict(spark):
+    measured = spark.createDataFrame([("row_count", 0.0), ("completeness_agency_key", 98.0)], "metric string, value double")
+    assert [r.passed for r in judge(measured, rules.QUALITY_LIMITS).collect()] == [False, False]
+
+
+def test_percent_leaves_unknown_out(spark):
+    df = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
+    assert values(measure(df, {"m": percent(F.col("v") > 0)})) == [("m", 50.0)]
+
+
+def test_missing_values(tables):
+    found = {(r.table_name, r.column_name): r.violations for r in checks.missing_values(tables).collect()}
+    assert {key: n for key, n in found.items() if n} == {
+        ("date", "full_date"): 1, ("agency", "agency_code"): 1, ("agency", "agency_name"): 1,
+        ("complaint", "complaint_type"): 1,
+    }
+    assert len(found) == sum(len(columns) for columns in rules.REQUIRED_COLUMNS.values())
+
+
+def test_repeated_keys(tables):
+    found = {r.table_name: r.violations for r in checks.repeated_keys(tables).collect()}
+    assert found == {"requests": 1, "date": 0, "agency": 1, "location": 0, "complaint": 0, "status": 0}
+    assert values(pk_violations(tables["requests"], ["request_id"])) == [(5, 2)]
+
+
+def test_broken_references(tables):
+    found = {r.column_name: r.violations for r in checks.broken_references(tables).collect()}
+    assert found == {"date_key": 1, "agency_key": 1, "location_key": 0, "complaint_key": 0, "status_key": 0}
+
+
+def test_composite_keys_and_single_checks(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "c")], "x int, y string")
+    assert values(pk_violations(df, ["x", "y"])) == [(1, "a", 2)]
+    assert values(null_violations(df, "t", ["x", "y"])) == [("t", "x", 1), ("t", "y", 0)]
+    assert values(fk_violations(df, {"x": (spark.range(1), "id")})) == [("x", 3)]
