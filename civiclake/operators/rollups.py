@@ -52,7 +52,8 @@ def top_k(df: DataFrame, measure: str, ties: list[str], k: int) -> DataFrame:
 def top_k_per_group(df: DataFrame, group: str, measure: str, ties: list[str], k: int) -> DataFrame:
     """The k rows with the largest measure in every group, with their ``place``.
 
-    Spark cuts every group to k rows in each map task before the shuffle.
+    Spark cuts every group to k rows in each map task before the shuffle, for k up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``.
     """
     place = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(measure), *ties))
     return df.withColumn("place", place).where(F.col("place") <= k)

@@ -8,6 +8,9 @@ from civiclake.rules import RAW_COLUMNS
 from civiclake.sources.csv import read_csv_text
 from civiclake.sources.messages import decode_messages, header_fields, read_kafka
 from civiclake.sources.tables import Store
+from civiclake.streaming.ingest import append_available
+
+BATCH, STREAM = "request_raw", "request_raw_stream"
 
 
 def load(spark, source: str, **options) -> DataFrame:
@@ -27,4 +30,24 @@ def append(raw: DataFrame, store: Store) -> DataFrame:
     """Append raw rows to the bronze table. No rows at all is an error."""
     if raw.isEmpty():
         raise ValueError("the source has no rows")
-    return store.write(raw, "request_raw", "append")
+    return store.write(raw, BATCH, "append")
+
+
+def append_new(messages: DataFrame, store: Store, fields: dict[str, str] | None = None) -> DataFrame:
+    """Take over the messages of a stream that have arrived since the last run; each one once.
+
+    They go to a table of their own: a stream's log decides which of the folder's files count, so batch files must not
+    lie among them.
+    """
+    append_available(
+        decode_messages(messages, RAW_COLUMNS, fields), store.path(STREAM), f"{store.root}/checkpoints/{STREAM}"
+    )
+    return store.read(STREAM)
+
+
+def rows(store: Store) -> DataFrame:
+    """All bronze rows, from batches and streams."""
+    present = [store.read(table) for table in (BATCH, STREAM) if store.exists(table)]
+    if not present:
+        raise ValueError("no bronze rows have been loaded yet")
+    return present[0] if len(present) == 1 else present[0].unionAll(present[1])

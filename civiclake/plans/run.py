@@ -1,4 +1,7 @@
-"""The whole run: bronze to silver to gold, each table written once and read by the steps after it."""
+"""The whole run: bronze to silver to gold, each table written once and read by the steps after it.
+
+Silver and gold are worked out anew and replace what was there, so running a step again changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +13,22 @@ from civiclake.plans.silver import silver
 from civiclake.session import pin_settings
 from civiclake.sources.tables import Store
 
+DIMENSIONS = ("date", "agency", "location", "complaint", "status")
+
+
+def build_silver(store: Store, bronze: DataFrame) -> DataFrame:
+    pin_settings(store.spark)
+    return store.write(silver(bronze), "request_cleaned")
+
 
-def build_star(store: Store, cleaned: DataFrame, agency_types: dict[str, list] = rules.AGENCY_TYPES,
-               categories: list[tuple[str, str]] = rules.COMPLAINT_CATEGORIES) -> dict[str, DataFrame]:
-    """Dimensions and fact of stored silver rows."""
+def build_star(
+    store: Store,
+    agency_types: dict[str, list] = rules.AGENCY_TYPES,
+    categories: list[tuple[str, str]] = rules.COMPLAINT_CATEGORIES,
+) -> dict[str, DataFrame]:
+    """Dimensions and fact of the stored silver rows."""
+    pin_settings(store.spark)
+    cleaned = store.read("request_cleaned")
     dims = {
         "date": store.write(star.date(cleaned), "date"),
         "agency": store.write(star.agency(cleaned, agency_types), "agency"),
@@ -25,16 +40,17 @@ def build_star(store: Store, cleaned: DataFrame, agency_types: dict[str, list] =
     return {**dims, "requests": store.write(fact, "requests")}
 
 
-def build(store: Store, bronze: DataFrame, **rule_tables) -> dict[str, DataFrame]:
-    """Everything from bronze rows. Silver and gold are worked out anew, so a second run leaves them as they are."""
-    pin_settings(store.spark)
-    cleaned = store.write(silver(bronze), "request_cleaned")
-    tables = build_star(store, cleaned, **rule_tables)
-    by_year = reports.complaint_by_year(tables["requests"], tables["complaint"], tables["date"])
-    by_borough = reports.channel_by_borough_of(cleaned, tables["location"])
+def build_rollups(store: Store) -> dict[str, DataFrame]:
+    """The two roll-up tables of the stored star."""
+    by_year = reports.complaint_by_year(*(store.read(name) for name in ("requests", "complaint", "date")))
+    by_borough = reports.channel_by_borough_of(store.read("request_cleaned"), store.read("location"))
     return {
-        "request_cleaned": cleaned,
-        **tables,
         "aggregation_complaint_by_year": store.write(by_year, "aggregation_complaint_by_year"),
         "aggregation_channel_by_borough": store.write(by_borough, "aggregation_channel_by_borough"),
     }
+
+
+def build(store: Store, bronze: DataFrame, **rule_tables) -> dict[str, DataFrame]:
+    """Everything from bronze rows."""
+    cleaned = build_silver(store, bronze)
+    return {"request_cleaned": cleaned, **build_star(store, **rule_tables), **build_rollups(store)}

@@ -57,6 +57,7 @@ CHANNEL_BY_BOROUGH = _table(borough="string", channel="string", request_count="b
 
 TABLES = {
     "request_raw": BRONZE,
+    "request_raw_stream": BRONZE,
     "request_cleaned": SILVER,
     "date": DATE,
     "agency": AGENCY,

@@ -2,44 +2,55 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.schemas import text_schema
 
+SPLIT_ABOVE = 128 << 20
 _FORMAT = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def files_by_line_breaks(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
-    """The input's files, split into those without and those with line breaks inside quotes.
+def files_by_line_breaks(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """The files, split into those without and those with line breaks inside quotes.
 
     A record goes on over a line break exactly when a line has an odd number of quotes (a doubled quote counts two), so
     this needs no CSV parsing and any part of a file can be looked at on its own. One row per file reaches the driver,
-    which lists the files in any case.
+    which knows the files in any case.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    odd = (F.length(F.regexp_replace("value", '[^"]', "")) % 2) == 1
-    files = lines.groupBy("file").agg(F.bool_or(odd).alias("broken")).collect()
-    return sorted(f.file for f in files if not f.broken), sorted(f.file for f in files if f.broken)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    files = lines.groupBy("file").agg(F.bool_or(quotes % 2 == 1).alias("broken")).collect()
+    plain, broken = ([unquote(f.file) for f in files if f.broken == kind] for kind in (False, True))
+    return sorted(plain), sorted(broken)
 
 
 def read_csv_text(
-    spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    names: list[str],
+    multi_line: bool | None = None,
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Every field as text under the given names, by position. Empty fields are NULL.
 
-    A file with line breaks inside quotes can only be read from its start, by one task; others are split. With
-    ``multi_line=None`` each file is looked at first and read in the way it allows; ``True`` or ``False`` skips that.
-    A header with another number of columns is an error, and so is a file whose header differs from the first one's.
+    A file with line breaks inside quotes can only be read from its start, by one task; others can be split. With
+    ``multi_line=None`` the files larger than ``split_above`` bytes are looked at first, and those without such line
+    breaks are split; ``True`` or ``False`` settles it for all files. A header with another number of columns is an
+    error, and so is a file whose header differs from the first one's.
     """
     if multi_line is not None:
         return _read(spark, path, names, multi_line)
-    plain, broken = files_by_line_breaks(spark, path)
-    if not broken:
-        return _read(spark, path, names, False)
+    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    large = [file.path for file in files if file.length > split_above]
+    plain, broken = files_by_line_breaks(spark, large) if large else ([], [])
     if not plain:
         return _read(spark, path, names, True)
-    return _read(spark, plain, names, False).unionAll(_read(spark, broken, names, True))
+    whole = broken + [file.path for file in files if file.length <= split_above]
+    split = _read(spark, plain, names, False)
+    return split.unionAll(_read(spark, whole, names, True)) if whole else split
 
 
 def _read(spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
+from civiclake.operators.dedupe import keep_first
 from civiclake.schemas import TABLES
 
 
@@ -34,16 +35,22 @@ class Store:
 
     def exists(self, table: str) -> bool:
         try:
-            self.spark.read.schema("_any int").parquet(self.path(table))
-        except AnalysisException:
-            return False
+            self.spark.read.text(self.path(table))
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
         return True
 
     def insert_absent(self, rows: DataFrame, table: str, keys: list[str]) -> DataFrame:
-        """Append the rows whose key the table does not hold yet; running it again changes nothing."""
-        if not self.exists(table):
-            return self.write(rows.dropDuplicates(keys), table, "append")
-        new = rows.dropDuplicates(keys).join(self.read(table).select(*keys), keys, "left_anti")
+        """Append the rows whose key the table does not hold yet; running it again changes nothing.
+
+        Of several new rows with one key the first by the other columns is taken.
+        """
+        others = [name for name in rows.columns if name not in keys]
+        new = keep_first(rows, keys, others[:1], others) if others else rows.distinct()
+        if self.exists(table):
+            new = new.join(self.read(table).select(*keys), keys, "left_anti").select(*rows.columns)
         return self.write(new, table, "append")
 
 

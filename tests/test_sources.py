@@ -24,19 +24,21 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_csv_of_another_program(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('K,V\n1,"x ""y"" z"\n2,\n3,""\n4, 007 \n')
-    (tmp_path / "b.csv").write_text('K,V\n5,"two\nlines"\n')
-    plain, broken = files_by_line_breaks(spark, str(tmp_path))
-    assert [len(plain), len(broken)] == [1, 1] and broken[0].endswith("b.csv")
-    assert values(read_csv_text(spark, str(tmp_path), ["k", "v"])) == [
-        ("1", 'x "y" z'), ("2", None), ("3", None), ("4", " 007 "), ("5", "two\nlines")]
+    (tmp_path / "a b.csv").write_text('K,V\n1,"x ""y"" z"\n2,\n3,""\n4, 007 \n')
+    (tmp_path / "c%20d+e.csv").write_text('K,V\n5,"two\nlines"\n')
+    plain, broken = files_by_line_breaks(spark, [str(tmp_path)])
+    assert [len(plain), len(broken)] == [1, 1]
+    assert plain[0].endswith("/a b.csv") and broken[0].endswith("/c%20d+e.csv")
+    for split_above in (0, 24, 1 << 20):
+        assert values(read_csv_text(spark, str(tmp_path), ["k", "v"], split_above=split_above)) == [
+            ("1", 'x "y" z'), ("2", None), ("3", None), ("4", " 007 "), ("5", "two\nlines")]
 
 
-def test_plain_csv_is_read_in_parts(spark, tmp_path):
+def test_large_plain_csv_is_read_in_parts(spark, tmp_path):
     (tmp_path / "big.csv").write_text("K,V\n" + "".join(f"{i},text {i}\n" for i in range(50_000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
     try:
-        df = read_csv_text(spark, str(tmp_path / "big.csv"), ["k", "v"])
+        df = read_csv_text(spark, str(tmp_path / "big.csv"), ["k", "v"], split_above=100_000)
         assert df.select(F.spark_partition_id()).distinct().count() > 3
         assert df.count() == 50_000 and df.select("k").distinct().count() == 50_000
     finally:
@@ -99,7 +101,7 @@ def test_bronze(spark, bronze_rows, tmp_path):
 def test_insert_absent(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    more = spark.createDataFrame([(2, "other"), (3, "c")], "k int, v string")
+    more = spark.createDataFrame([(2, "other"), (3, "d"), (3, "c")], "k int, v string")
     assert not store.exists("t")
     for rows in (first, more, more, first):
         store.insert_absent(rows, "t", ["k"])
