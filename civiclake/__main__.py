@@ -10,11 +10,12 @@ from civiclake.plans.views import register_views
 from civiclake.rules import RAW_COLUMNS
 from civiclake.session import build_session
 from civiclake.sources.csv import read_csv_text
+from civiclake.sources.jdbc import export
 from civiclake.sources.messages import encode_messages, header_fields, stream_kafka, write_kafka
 from civiclake.sources.tables import Store
 from civiclake.streaming.ingest import stream_message_files
 
-STEPS = ["publish", "ingest", "bronze", "silver", "star", "rollups", "check", "all", "sql"]
+STEPS = ["publish", "ingest", "bronze", "silver", "star", "rollups", "check", "all", "sql", "export"]
 
 
 def _options() -> argparse.ArgumentParser:
@@ -26,6 +27,8 @@ def _options() -> argparse.ArgumentParser:
     parser.add_argument("--kafka", help="bootstrap servers, instead of a message folder")
     parser.add_argument("--topic", default="requests_raw")
     parser.add_argument("--max-rows", type=int, help="publish at most so many rows")
+    parser.add_argument("--jdbc-url", help="database to export silver and gold to")
+    parser.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="such as driver")
     parser.add_argument("--query", help="SQL text over the stored tables, for the step sql")
     return parser
 
@@ -83,6 +86,8 @@ def main(arguments: list[str], spark=None) -> int:
     if given.step == "sql":
         register_views(store)
         spark.sql(given.query).show(100, truncate=False)
+    if given.step == "export":
+        export(store, given.jdbc_url, dict(pair.split("=", 1) for pair in given.jdbc_property))
     return check(store) if given.step in ("check", "all") else 0
 
 

@@ -9,15 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civiclake.operators.clean import require
+
 
 def count_per_key(fact: DataFrame, keys: list[str]) -> DataFrame:
     """Rows per combination of known keys (an unknown key has no dimension row to join)."""
-    return fact.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+    return require(fact, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def measure_per_key(fact: DataFrame, keys: list[str], measure: Column) -> DataFrame:
     """Rows, and count and sum of the measure's known values, per combination of known keys."""
-    return fact.dropna(subset=keys).groupBy(*keys).agg(
+    return require(fact, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(measure).alias("measure_count"),
         F.sum(measure).alias("measure_sum"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclake.operators.clean import require
 from civiclake.operators.lookups import join_back
 from civiclake.operators.rollups import (
     count_per_key, mean_measure, measure_per_key, share_of_parent, top_k, top_k_per_group, total_rows,
@@ -30,9 +31,11 @@ def by_year_order(rollup: DataFrame) -> DataFrame:
 
 def channel_by_borough(requests: DataFrame, silver: DataFrame, location: DataFrame) -> DataFrame:
     """Requests per borough and channel, and their percent of the borough. The channel comes back from silver."""
-    known = silver.where(F.col("channel").isNotNull())
-    return _channel_shares(join_back(requests.select("request_id", "location_key"), known, "request_id", ["channel"]),
-                           location)
+    facts = require(requests.select("request_id", "location_key"), ["location_key"])
+    rows = join_back(facts, require(silver, ["channel"]), "request_id", ["channel"])
+    counts = count_per_key(rows, ["location_key", "channel"])
+    places = require(location.select("location_key", "borough"), ["borough"])
+    return _shares(counts.join(places, "location_key"))
 
 
 def channel_by_borough_of(silver: DataFrame, location: DataFrame) -> DataFrame:
@@ -40,7 +43,7 @@ def channel_by_borough_of(silver: DataFrame, location: DataFrame) -> DataFrame:
     which location a request has, and only the counts per area and channel are joined to the locations."""
     grain = ["borough", "incident_zip", "city"]
     counts = (
-        silver.dropna(subset=["request_id", "borough", "channel"])
+        require(silver, ["request_id", "borough", "channel"])
         .groupBy(*grain, "channel").agg(F.count(F.lit(1)).alias("row_count"))
     )
     place = location.select("location_key", *[F.col(name).alias(f"_{name}") for name in grain])
@@ -50,12 +53,6 @@ def channel_by_borough_of(silver: DataFrame, location: DataFrame) -> DataFrame:
     return _shares(counts.join(place, match))
 
 
-def _channel_shares(rows: DataFrame, location: DataFrame) -> DataFrame:
-    counts = count_per_key(rows, ["location_key", "channel"])
-    return _shares(counts.join(location.select("location_key", "borough"), "location_key")
-                   .where(F.col("borough").isNotNull()))
-
-
 def _shares(counts: DataFrame) -> DataFrame:
     totals = counts.groupBy("borough", "channel").agg(total_rows().alias("request_count"))
     return share_of_parent(totals, "borough", "request_count", "pct_of_borough_total")
@@ -67,7 +64,7 @@ def by_borough_order(rollup: DataFrame) -> DataFrame:
 
 def slowest_agencies(requests: DataFrame, agency: DataFrame, k: int = 10) -> DataFrame:
     """The k agencies with the longest mean time to close."""
-    closed = requests.where(F.col("resolution_hours").isNotNull())
+    closed = require(requests, ["resolution_hours"])
     per_key = measure_per_key(closed, ["agency_key"], F.col("resolution_hours"))
     means = (
         per_key.join(agency, "agency_key").groupBy("agency_code", "agency_name")

@@ -55,6 +55,20 @@ STATUS_ROWS = [
     (6, "UNSPECIFIED", "Unspecified", False, False),
 ]
 
+# --- fixed values: table names in a database -------------------------------------------------------------------------
+DATABASE_TABLES = {
+    "request_raw": "bronze.request_raw",
+    "request_cleaned": "silver.request_cleaned",
+    "date": "gold.date",
+    "agency": "gold.agency",
+    "location": "gold.location",
+    "complaint": "gold.complaint",
+    "status": "gold.status",
+    "requests": "gold.requests",
+    "aggregation_complaint_by_year": "gold.aggregation_complaint_by_year",
+    "aggregation_channel_by_borough": "gold.aggregation_channel_by_borough",
+}
+
 # --- fixed values: contract limits -----------------------------------------------------------------------------------
 OFFICIAL_BOROUGHS = ["MANHATTAN", "BROOKLYN", "QUEENS", "BRONX", "STATEN ISLAND"]
 QUALITY_LIMITS = {

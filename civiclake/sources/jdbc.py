@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civiclake.rules import DATABASE_TABLES
+from civiclake.sources.tables import Store
+
 BATCH_ROWS = 10_000
 
 
@@ -32,6 +35,18 @@ def read_jdbc(
     return spark.read.jdbc(url, table, properties=properties)
 
 
+def read_jdbc_by_key(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str, parts: int
+) -> DataFrame:
+    """A table scan in ``parts`` ranges of a numeric column, between the bounds the database gives for it."""
+    bounds = spark.read.jdbc(
+        url, f"(select min({column}) as low, max({column}) as high from {table}) bounds", properties=properties
+    ).first()
+    if bounds.low is None or bounds.low == bounds.high:
+        return read_jdbc(spark, url, table, properties)
+    return read_jdbc(spark, url, table, properties, column, int(bounds.low), int(bounds.high), parts)
+
+
 def write_jdbc(
     df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append", connections: int = 16
 ) -> None:
@@ -45,3 +60,9 @@ def write_jdbc(
     df.write.mode(mode).options(batchsize=BATCH_ROWS, truncate="true", numPartitions=connections).jdbc(
         url, table, properties=properties
     )
+
+
+def export(store: Store, url: str, properties: dict[str, str], tables: list[str] | None = None) -> None:
+    """Replace the rows of database tables by those of the stored ones (default: all of silver and gold)."""
+    for table in tables or [name for name in DATABASE_TABLES if name != "request_raw"]:
+        write_jdbc(store.read(table), url, DATABASE_TABLES[table], properties, "overwrite")

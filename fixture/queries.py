@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from civiclake.functions.dates import calendar_parts, elapsed_hours
 from civiclake.functions.labels import first_match, label_of
-from civiclake.operators.clean import project, require, valid_interval
+from civiclake.operators.clean import project
 from civiclake.operators.dedupe import keep_first
 from civiclake.operators.dimensions import calendar_dim, distinct_dim
 from civiclake.operators.lookups import join_back, lookup_key, unmatched

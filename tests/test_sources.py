@@ -163,6 +163,15 @@ def test_jdbc_options():
         jdbc.write_jdbc(session, "url", "t", {}, "ignore")
 
 
+def test_export_options(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    store.write(spark.createDataFrame([(1, "X", "x", True, False)], schemas.STATUS), "status")
+    calls = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, *rest: calls.append((values(df), *rest)))
+    jdbc.export(store, "url", {"user": "u"}, ["status"])
+    assert calls == [([(1, "X", "x", True, False)], "url", "gold.status", {"user": "u"}, "overwrite")]
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         messages.read_kafka(spark, "localhost:1", "t")
