@@ -16,8 +16,7 @@ def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = build_session(
         "tests", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="4",
-        spark__checkpoint__dir=str(folder / "shared"), spark__sql__warehouse__dir=str(folder / "warehouse"),
-        spark__driver__memory="6g",
+        spark__sql__warehouse__dir=str(folder / "warehouse"), spark__driver__memory="6g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,5 +1,7 @@
 """Dense numbering over many partitions."""
 
+from types import SimpleNamespace
+
 import pytest
 from conftest import plan_of, values
 from pyspark.sql import Window
@@ -52,6 +54,17 @@ def test_texts_and_nulls_first(spark):
     assert [(r.x, r.y) for r in got.orderBy("k").collect()] == [(None, "q"), ("a", None), ("a", "z"), ("b", None)]
 
 
-def test_scratch_is_in_the_shared_folder(spark):
-    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+class Session:
+    """Only the settings a session tells."""
+
+    def __init__(self, master, settings):
+        self.conf, self.sparkContext = settings, SimpleNamespace(master=master, applicationId=f"app-{id(self)}")
+
+
+def test_scratch_is_in_the_folder_the_cluster_names():
+    cluster = Session("spark://host:7077", {"spark.checkpoint.dir": "hdfs://shared/folder/"})
+    first, second = scratch_path(cluster, "x"), scratch_path(cluster, "x")
+    assert first.startswith("hdfs://shared/folder/civiclake/x-") and first != second
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session("yarn", {}), "x")
+    assert scratch_path(Session("local[2]", {}), "x")
