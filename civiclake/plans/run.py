@@ -5,6 +5,10 @@ Silver and gold are worked out anew and replace what was there, so running a ste
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from civiclake import rules
@@ -13,7 +17,16 @@ from civiclake.plans.silver import silver
 from civiclake.session import pin_settings
 from civiclake.sources.tables import Store
 
-DIMENSIONS = ("date", "agency", "location", "complaint", "status")
+
+def _write_all(store: Store, tables: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Write tables that do not need each other as jobs at the same time, so one's last tasks leave no cores idle."""
+    inherit = inheritable_thread_target(store.spark)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = {
+            name: pool.submit(inherit(lambda name=name, table=table: store.write(table(), name)))
+            for name, table in tables.items()
+        }
+    return {name: job.result() for name, job in jobs.items()}
 
 
 def build_silver(store: Store, bronze: DataFrame) -> DataFrame:
@@ -29,25 +42,26 @@ def build_star(
     """Dimensions and fact of the stored silver rows."""
     pin_settings(store.spark)
     cleaned = store.read("request_cleaned")
-    dims = {
-        "date": store.write(star.date(cleaned), "date"),
-        "agency": store.write(star.agency(cleaned, agency_types), "agency"),
-        "location": store.write(star.location(cleaned), "location"),
-        "complaint": store.write(star.complaint(cleaned, categories), "complaint"),
-        "status": store.write(star.status(store.spark), "status"),
-    }
+    dims = _write_all(store, {
+        "date": lambda: star.date(cleaned),
+        "agency": lambda: star.agency(cleaned, agency_types),
+        "location": lambda: star.location(cleaned),
+        "complaint": lambda: star.complaint(cleaned, categories),
+        "status": lambda: star.status(store.spark),
+    })
     fact = star.requests(cleaned, dims["agency"], dims["location"], dims["complaint"], dims["status"])
     return {**dims, "requests": store.write(fact, "requests")}
 
 
 def build_rollups(store: Store) -> dict[str, DataFrame]:
     """The two roll-up tables of the stored star."""
-    by_year = reports.complaint_by_year(*(store.read(name) for name in ("requests", "complaint", "date")))
-    by_borough = reports.channel_by_borough_of(store.read("request_cleaned"), store.read("location"))
-    return {
-        "aggregation_complaint_by_year": store.write(by_year, "aggregation_complaint_by_year"),
-        "aggregation_channel_by_borough": store.write(by_borough, "aggregation_channel_by_borough"),
-    }
+    facts, complaint, date, location, cleaned = (
+        store.read(name) for name in ("requests", "complaint", "date", "location", "request_cleaned")
+    )
+    return _write_all(store, {
+        "aggregation_complaint_by_year": lambda: reports.complaint_by_year(facts, complaint, date),
+        "aggregation_channel_by_borough": lambda: reports.channel_by_borough_of(cleaned, location),
+    })
 
 
 def build(store: Store, bronze: DataFrame, **rule_tables) -> dict[str, DataFrame]:
