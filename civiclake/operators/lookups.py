@@ -24,6 +24,10 @@ def data_bytes(df: DataFrame) -> int:
     return total or 0
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    return data_bytes(df) <= BROADCAST_BYTES
+
+
 def lookup_key(
     fact: DataFrame,
     dim: DataFrame,
@@ -32,17 +36,18 @@ def lookup_key(
     null_safe: list[str] = (),
     spread: list[str] | None = None,
     count_in: DataFrame | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    shuffle: bool = False,
 ) -> DataFrame:
     """Add the dimension's ``key`` to every row of ``fact``; NULL where nothing matches.
 
     ``on`` maps fact columns to the dimension's columns and must cover the dimension's whole grain, so the row count
     stays. Columns in ``null_safe`` match NULL with NULL; in the others NULL matches nothing. A dimension measured to
-    be small is broadcast; for a larger one see ``_shuffled``. There ``spread`` are columns that differ between rows
-    (default: all), and ``count_in`` is a table with the same key values, where that is cheaper to read than ``fact``.
+    be small is broadcast; for a larger one (or with ``shuffle``) see ``_shuffled``. There ``spread`` are columns that
+    differ between rows (default: all), and ``count_in`` is a table with the same key values, where that is cheaper to
+    read than ``fact``.
     """
     small = dim.select(F.col(key), *[F.col(theirs).alias(f"_dim_{ours}") for ours, theirs in on.items()])
-    if data_bytes(small) <= broadcast_bytes:
+    if not shuffle and fits_broadcast(small):
         match = [_equal(fact[ours], F.col(f"_dim_{ours}"), ours in null_safe) for ours in on]
         joined = fact.join(F.broadcast(small), all_true(match), "left")
         return joined.select(*[fact[name] for name in fact.columns], F.col(key))

@@ -1,8 +1,4 @@
-"""Grouped reports over a star. Facts are summed per surrogate key before a dimension is joined.
-
-The first aggregation runs partly in the map tasks, so a hot key leaves each task as one row, and the joins that follow
-move group rows, not fact rows.
-"""
+"""Grouped reports over a star."""
 
 from __future__ import annotations
 
@@ -10,29 +6,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.operators.clean import require
+from civiclake.operators.lookups import fits_broadcast
 
 
-def count_per_key(fact: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per combination of known keys (an unknown key has no dimension row to join)."""
-    return require(fact, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-
+def star_sums(
+    fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = (), measure: Column | None = None
+) -> DataFrame:
+    """Facts per combination of the dimensions' columns and the fact's ``by`` columns.
 
-def measure_per_key(fact: DataFrame, keys: list[str], measure: Column) -> DataFrame:
-    """Rows, and count and sum of the measure's known values, per combination of known keys."""
-    return require(fact, keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(measure).alias("measure_count"),
-        F.sum(measure).alias("measure_sum"),
-    )
+    ``dims`` maps a key of the fact to a dimension cut down to that key and the columns to group by. The result has
+    ``row_count`` and, for a ``measure``, ``measure_count`` and ``measure_sum`` of its known values; ``mean_measure``
+    turns these into a mean. Facts whose key is unknown or has no dimension row are left out.
 
-
-def total_rows() -> Column:
-    return F.sum("row_count")
+    A dimension measured to be small is broadcast and its columns take the key's place before anything moves: each task
+    then sums into few groups (a year, not a day). For a larger one the facts are summed per key first, so that its
+    shuffle join moves sums, and a hot key is one row by then. Then the sums are summed.
+    """
+    rows, large, groups = require(fact, list(dims)), {}, list(by)
+    for key, dim in dims.items():
+        if fits_broadcast(dim):
+            rows = rows.join(F.broadcast(dim), key)
+            groups += [name for name in dim.columns if name != key]
+        else:
+            large[key] = dim
+    first = {"row_count": F.count(F.lit(1))}
+    if measure is not None:
+        first |= {"measure_count": F.count(measure), "measure_sum": F.sum(measure)}
+    sums = rows.groupBy(*groups, *large).agg(*[total.alias(name) for name, total in first.items()])
+    if not large:
+        return sums
+    for key, dim in large.items():
+        sums = sums.join(dim, key)
+        groups += [name for name in dim.columns if name != key]
+    return sums.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in first])
 
 
 def mean_measure(digits: int) -> Column:
-    """Mean over groups made by ``measure_per_key``; NULL for a group without known values."""
-    return F.round(F.try_divide(F.sum("measure_sum").cast("double"), F.sum("measure_count")), digits)
+    """The rounded mean in a result of ``star_sums``; NULL for a group without known values."""
+    return F.round(F.try_divide(F.col("measure_sum").cast("double"), F.col("measure_count")), digits)
 
 
 def share_of_parent(counts: DataFrame, parent: str, count: str, name: str) -> DataFrame:

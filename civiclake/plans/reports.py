@@ -7,21 +7,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.operators.clean import require
-from civiclake.operators.lookups import join_back
-from civiclake.operators.rollups import (
-    count_per_key, mean_measure, measure_per_key, share_of_parent, top_k, top_k_per_group, total_rows,
-)
+from civiclake.operators.lookups import fits_broadcast, join_back
+from civiclake.operators.rollups import mean_measure, share_of_parent, star_sums, top_k, top_k_per_group
 
 
 def complaint_by_year(requests: DataFrame, complaint: DataFrame, date: DataFrame) -> DataFrame:
     """Requests and mean hours (of those that took any) per category, complaint type and year."""
     hours = F.when(F.col("resolution_hours") > 0, F.col("resolution_hours"))
-    per_key = measure_per_key(requests, ["complaint_key", "date_key"], hours)
-    return (
-        per_key.join(date.select("date_key", "year"), "date_key")
-        .join(complaint, "complaint_key")
-        .groupBy("category", "complaint_type", "year")
-        .agg(total_rows().alias("request_count"), mean_measure(1).alias("avg_resolution_hours"))
+    dims = {"complaint_key": complaint, "date_key": date.select("date_key", "year")}
+    return star_sums(requests, dims, measure=hours).select(
+        "category", "complaint_type", "year", F.col("row_count").alias("request_count"),
+        mean_measure(1).alias("avg_resolution_hours"),
     )
 
 
@@ -33,28 +29,29 @@ def channel_by_borough(requests: DataFrame, silver: DataFrame, location: DataFra
     """Requests per borough and channel, and their percent of the borough. The channel comes back from silver."""
     facts = require(requests.select("request_id", "location_key"), ["location_key"])
     rows = join_back(facts, require(silver, ["channel"]), "request_id", ["channel"])
-    counts = count_per_key(rows, ["location_key", "channel"])
     places = require(location.select("location_key", "borough"), ["borough"])
-    return _shares(counts.join(places, "location_key"))
+    return _shares(star_sums(rows, {"location_key": places}, ["channel"]))
 
 
 def channel_by_borough_of(silver: DataFrame, location: DataFrame) -> DataFrame:
     """The same roll-up without a join of fact and silver, both as large as the data: silver's own area columns say
-    which location a request has, and only the counts per area and channel are joined to the locations."""
+    which location a request has."""
     grain = ["borough", "incident_zip", "city"]
-    counts = (
-        require(silver, ["request_id", "borough", "channel"])
-        .groupBy(*grain, "channel").agg(F.count(F.lit(1)).alias("row_count"))
-    )
-    place = location.select("location_key", *[F.col(name).alias(f"_{name}") for name in grain])
-    match = counts["borough"] == place["_borough"]
+    rows = require(silver, ["request_id", "borough", "channel"])
+    place = location.select(*[F.col(name).alias(f"_{name}") for name in grain])
+    match = F.col("borough") == F.col("_borough")
     for name in grain[1:]:
-        match = match & counts[name].eqNullSafe(place[f"_{name}"])
-    return _shares(counts.join(place, match))
+        match = match & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    if fits_broadcast(place):
+        known = rows.join(F.broadcast(place), match, "left_semi").withColumn("row_count", F.lit(1))
+    else:
+        per_place = rows.groupBy(*grain, "channel").agg(F.count(F.lit(1)).alias("row_count"))
+        known = per_place.join(place, match, "left_semi")
+    return _shares(known.groupBy("borough", "channel").agg(F.sum("row_count").alias("row_count")))
 
 
 def _shares(counts: DataFrame) -> DataFrame:
-    totals = counts.groupBy("borough", "channel").agg(total_rows().alias("request_count"))
+    totals = counts.select("borough", "channel", F.col("row_count").alias("request_count"))
     return share_of_parent(totals, "borough", "request_count", "pct_of_borough_total")
 
 
@@ -64,32 +61,26 @@ def by_borough_order(rollup: DataFrame) -> DataFrame:
 
 def slowest_agencies(requests: DataFrame, agency: DataFrame, k: int = 10) -> DataFrame:
     """The k agencies with the longest mean time to close."""
-    closed = require(requests, ["resolution_hours"])
-    per_key = measure_per_key(closed, ["agency_key"], F.col("resolution_hours"))
-    means = (
-        per_key.join(agency, "agency_key").groupBy("agency_code", "agency_name")
-        .agg(total_rows().alias("total_requests"), mean_measure(0).alias("avg_hours"))
+    dims = {"agency_key": agency.select("agency_key", "agency_code", "agency_name")}
+    sums = star_sums(require(requests, ["resolution_hours"]), dims, measure=F.col("resolution_hours"))
+    means = sums.select(
+        "agency_code", "agency_name", F.col("row_count").alias("total_requests"), mean_measure(0).alias("avg_hours")
     )
     return top_k(means, "avg_hours", ["agency_code", "agency_name"], k)
 
 
 def count_by_borough_year(requests: DataFrame, location: DataFrame, date: DataFrame) -> DataFrame:
-    return (
-        count_per_key(requests, ["location_key", "date_key"])
-        .join(date.select("date_key", "year"), "date_key")
-        .join(location.select("location_key", "borough"), "location_key")
-        .groupBy("borough", "year").agg(total_rows().alias("request_count"))
-        .orderBy("borough", "year")
-    )
+    dims = {"location_key": location.select("location_key", "borough"), "date_key": date.select("date_key", "year")}
+    counts = star_sums(requests, dims).select("borough", "year", F.col("row_count").alias("request_count"))
+    return counts.orderBy("borough", "year")
 
 
 def _type_counts(requests: DataFrame, complaint: DataFrame, location: DataFrame) -> DataFrame:
-    return (
-        count_per_key(requests, ["complaint_key", "location_key"])
-        .join(location.select("location_key", "borough"), "location_key")
-        .join(complaint.select("complaint_key", "complaint_type"), "complaint_key")
-        .groupBy("borough", "complaint_type").agg(total_rows().alias("total"))
-    )
+    dims = {
+        "location_key": location.select("location_key", "borough"),
+        "complaint_key": complaint.select("complaint_key", "complaint_type"),
+    }
+    return star_sums(requests, dims).select("borough", "complaint_type", F.col("row_count").alias("total"))
 
 
 def top_types_in_borough(requests: DataFrame, complaint: DataFrame, location: DataFrame, borough: str,

@@ -208,7 +208,7 @@ def lookup_salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = stored(spark, sf_dir)
     rows = store.read("request_cleaned").select("request_id", *_PLACE)
     return lookup_key(
-        rows, store.read("location"), "location_key", _PLACE, ["incident_zip", "city"], broadcast_bytes=-1
+        rows, store.read("location"), "location_key", _PLACE, ["incident_zip", "city"], shuffle=True
     )
 
 

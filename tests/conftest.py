@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from civiclake.operators import lookups  # noqa: E402
 from civiclake.rules import RAW_COLUMNS  # noqa: E402
 from civiclake.schemas import BRONZE  # noqa: E402
 from civiclake.session import build_session  # noqa: E402
@@ -34,6 +35,22 @@ def bronze_rows(spark):
     return make
 
 
+@pytest.fixture
+def nothing_is_small(spark, monkeypatch):
+    """No dimension counts as small, and Spark broadcasts only what it is told to. Calling it ends that."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    limit = spark.conf.get(name)
+
+    def end():
+        monkeypatch.undo()
+        spark.conf.set(name, limit)
+
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", -1)
+    spark.conf.set(name, "-1")
+    yield end
+    end()
+
+
 def request(key, created="01/02/2015 01:00:00 AM", closed=None, **columns):
     """A raw row with plain values."""
     plain = {"agency": "NYPD", "agency_name": "police", "problem": "Noise", "borough": "queens", "city": "rego park",

@@ -140,8 +140,31 @@ def test_top_k_plans(spark):
     assert plan.count("WindowGroupLimit") == 2, "groups are cut before the shuffle"
 
 
-def test_facts_are_summed_before_any_join(star):
-    for report in (reports.complaint_by_year(star["requests"], star["complaint"], star["date"]),
-                   reports.count_by_borough_year(star["requests"], star["location"], star["date"])):
+def all_reports(star):
+    return [
+        reports.complaint_by_year(star["requests"], star["complaint"], star["date"]),
+        reports.count_by_borough_year(star["requests"], star["location"], star["date"]),
+        reports.channel_by_borough(star["requests"], star["silver"], star["location"]),
+        reports.channel_by_borough_of(star["silver"], star["location"]),
+        reports.slowest_agencies(star["requests"], star["agency"]),
+        reports.top_types_per_borough(star["requests"], star["complaint"], star["location"]),
+    ]
+
+
+def test_small_dimensions_join_without_a_shuffle(star):
+    for report in all_reports(star)[:2]:
         plan = plan_of(report)
-        assert plan.rindex("Join") < plan.index("partial_count"), "the partial count is below the joins"
+        assert "SortMergeJoin" not in plan
+        assert plan.count("partial_count(1)") == 1 and plan.index("partial_count(1)") < plan.rindex("BroadcastHashJoin")
+        below = plan[plan.index("partial_count(1)"):]
+        assert "Exchange hashpartitioning" not in below, "facts do not move before they are summed"
+
+
+def test_large_dimensions_give_the_same(star, nothing_is_small):
+    large = all_reports(star)
+    for report in large[:2]:
+        plan = plan_of(report)
+        assert "BroadcastHashJoin" not in plan and plan.rindex("SortMergeJoin") < plan.index("partial_count(1)")
+    results = [values(report) for report in large]
+    nothing_is_small()
+    assert results == [values(report) for report in all_reports(star)]

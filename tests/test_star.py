@@ -123,24 +123,19 @@ def brute_force(fact, dim):
     )
 
 
-@pytest.mark.parametrize("limit", [lookups.BROADCAST_BYTES, -1])
-def test_lookup_against_brute_force(spark, limit):
+@pytest.mark.parametrize("shuffle", [False, True])
+def test_lookup_against_brute_force(spark, shuffle):
     fact, dim = lookup_tables(spark)
-    got = lookup_key(fact, dim, "k", {"a": "da", "b": "db"}, ["b"], broadcast_bytes=limit)
+    got = lookup_key(fact, dim, "k", {"a": "da", "b": "db"}, ["b"], shuffle=shuffle)
     assert got.columns == ["id", "a", "b", "k"]
     assert sorted(tuple(row) for row in got.collect()) == brute_force(fact, dim)
 
 
-def test_large_dimension_is_not_broadcast_and_hot_rows_are_dealt_out(spark):
+def test_large_dimension_is_not_broadcast_and_hot_rows_are_dealt_out(spark, nothing_is_small):
     fact, dim = lookup_tables(spark)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = lookup_key(fact, dim, "k", {"a": "da", "b": "db"}, ["b"], broadcast_bytes=-1)
-        plan = plan_of(got)
-        rows = sorted(tuple(row) for row in got.collect())
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    got = lookup_key(fact, dim, "k", {"a": "da", "b": "db"}, ["b"])
+    plan = plan_of(got)
+    rows = sorted(tuple(row) for row in got.collect())
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning(_key_a" in line)
     assert "_salt" in exchange
@@ -168,6 +163,20 @@ def test_fact_is_built_without_a_shuffle(spark, bronze_rows, tmp_path):
     assert plan.count("BroadcastHashJoin") == 4 and "Exchange hashpartitioning" not in plan
 
 
+def test_fact_is_the_same_with_large_dimensions(spark, bronze_rows, tmp_path, nothing_is_small):
+    rows = [request(str(i), city=f"c{i % 7}" if i % 5 else None, agency_name=None if i % 3 else f"a{i % 4}",
+                    borough="queens" if i % 2 else "unspecified", status="open" if i % 6 else "lost") for i in range(90)]
+    store = Store(spark, str(tmp_path / "large"))
+    tables = run.build(store, store.write(bronze_rows(*rows), "request_raw"))
+    large = values(tables["requests"])
+    sums = [values(tables[name]) for name in ("aggregation_complaint_by_year", "aggregation_channel_by_borough")]
+    nothing_is_small()
+    tables = run.build(store, store.read("request_raw"))
+    assert values(tables["requests"]) == large
+    assert sums == [values(tables[name]) for name in
+                    ("aggregation_complaint_by_year", "aggregation_channel_by_borough")]
+
+
 def test_join_back_never_multiplies(spark):
     fact = spark.createDataFrame([(1, 10), (1, 11), (2, 12), (None, 13), (9, 14)], "id long, v int")
     source = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (None, "z")], "id long, channel string")
