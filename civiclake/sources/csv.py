@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,18 +14,20 @@ SPLIT_ABOVE = 128 << 20
 _FORMAT = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def files_by_line_breaks(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
-    """The files, split into those without and those with line breaks inside quotes.
+def files_by_line_breaks(spark: SparkSession, paths: list[str]) -> tuple[dict[str, int], dict[str, int]]:
+    """The files and their sizes, split into those without and those with line breaks inside quotes.
 
     A record goes on over a line break exactly when a line has an odd number of quotes (a doubled quote counts two), so
     this needs no CSV parsing and any part of a file can be looked at on its own. One row per file reaches the driver,
     which knows the files in any case.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
+    )
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    files = lines.groupBy("file").agg(F.bool_or(quotes % 2 == 1).alias("broken")).collect()
-    plain, broken = ([unquote(f.file) for f in files if f.broken == kind] for kind in (False, True))
-    return sorted(plain), sorted(broken)
+    files = lines.groupBy("file", "size").agg(F.bool_or(quotes % 2 == 1).alias("broken")).collect()
+    plain, broken = ({unquote(f.file): f.size for f in files if f.broken == kind} for kind in (False, True))
+    return plain, broken
 
 
 def read_csv_text(
@@ -37,20 +40,27 @@ def read_csv_text(
     """Every field as text under the given names, by position. Empty fields are NULL.
 
     A file with line breaks inside quotes can only be read from its start, by one task; others can be split. With
-    ``multi_line=None`` the files larger than ``split_above`` bytes are looked at first, and those without such line
-    breaks are split; ``True`` or ``False`` settles it for all files. A header with another number of columns is an
-    error, and so is a file whose header differs from the first one's.
+    ``multi_line=None`` the files larger than ``split_above`` bytes are looked at first. Those without such line breaks
+    are split. The rows of the others are dealt out to one task per ``split_above`` bytes right after parsing, so
+    nothing else is done by that one task. ``True`` or ``False`` settles the reading for all files. A header with
+    another number of columns is an error, and so is a file whose header differs from the first one's.
     """
     if multi_line is not None:
         return _read(spark, path, names, multi_line)
     files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
     large = [file.path for file in files if file.length > split_above]
-    plain, broken = files_by_line_breaks(spark, large) if large else ([], [])
-    if not plain:
+    if not large:
         return _read(spark, path, names, True)
-    whole = broken + [file.path for file in files if file.length <= split_above]
-    split = _read(spark, plain, names, False)
-    return split.unionAll(_read(spark, whole, names, True)) if whole else split
+    plain, broken = files_by_line_breaks(spark, large)
+    parts = []
+    if plain:
+        parts.append(_read(spark, list(plain), names, False))
+    if broken:
+        tasks = 1 + sum(broken.values()) // max(split_above, 1)
+        parts.append(_read(spark, list(broken), names, True).repartition(tasks))
+    if len(large) < len(files):
+        parts.append(_read(spark, [file.path for file in files if file.length <= split_above], names, True))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _read(spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool) -> DataFrame:

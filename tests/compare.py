@@ -33,7 +33,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+        return "nan" if math.isnan(value) else value
     return value
 
 

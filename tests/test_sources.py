@@ -28,8 +28,9 @@ def test_csv_of_another_program(spark, tmp_path):
     (tmp_path / "c%20d+e.csv").write_text('K,V\n5,"two\nlines"\n')
     plain, broken = files_by_line_breaks(spark, [str(tmp_path)])
     assert [len(plain), len(broken)] == [1, 1]
-    assert plain[0].endswith("/a b.csv") and broken[0].endswith("/c%20d+e.csv")
-    for split_above in (0, 24, 1 << 20):
+    assert list(plain)[0].endswith("/a b.csv") and list(broken)[0].endswith("/c%20d+e.csv")
+    assert list(plain.values()) == [(tmp_path / "a b.csv").stat().st_size]
+    for split_above in (1, 24, 1 << 20):
         assert values(read_csv_text(spark, str(tmp_path), ["k", "v"], split_above=split_above)) == [
             ("1", 'x "y" z'), ("2", None), ("3", None), ("4", " 007 "), ("5", "two\nlines")]
 
@@ -45,6 +46,14 @@ def test_large_plain_csv_is_read_in_parts(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_rows_of_a_large_broken_csv_are_dealt_out(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("K,V\n" + "".join(f'{i},"text\n{i}"\n' for i in range(20_000)))
+    df = read_csv_text(spark, str(tmp_path), ["k", "v"], split_above=100_000)
+    sizes = [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < 10_000
+    assert {(r.k, r.v) for r in df.collect()} == {(str(i), f"text\n{i}") for i in range(20_000)}
+
+
 def test_csv_with_another_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("K,V\n1,x\n")
     with pytest.raises(ValueError, match="2 columns"):
