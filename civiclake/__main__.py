@@ -8,10 +8,13 @@ import sys
 from civiclake.plans import bronze, checks, run
 from civiclake.plans.views import register_views
 from civiclake.rules import RAW_COLUMNS
+from civiclake.schemas import MESSAGE
 from civiclake.session import build_session
 from civiclake.sources.csv import read_csv_text
 from civiclake.sources.jdbc import export
-from civiclake.sources.messages import encode_messages, header_fields, stream_kafka, write_kafka
+from civiclake.sources.messages import (
+    encode_messages, header_fields, ordered_fields, read_kafka, stream_kafka, write_kafka,
+)
 from civiclake.sources.tables import Store
 from civiclake.streaming.ingest import stream_message_files
 
@@ -26,6 +29,8 @@ def _options() -> argparse.ArgumentParser:
     parser.add_argument("--messages", help="folder of message files to write or read")
     parser.add_argument("--kafka", help="bootstrap servers, instead of a message folder")
     parser.add_argument("--topic", default="requests_raw")
+    parser.add_argument("--fields", choices=["header", "order"], default="header",
+                        help="messages name their fields like 'Unique Key', or have all fields in file order")
     parser.add_argument("--max-rows", type=int, help="publish at most so many rows")
     parser.add_argument("--jdbc-url", help="database to export silver and gold to")
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="such as driver")
@@ -42,19 +47,34 @@ def publish(spark, given) -> None:
         messages.write.mode("append").parquet(given.messages)
 
 
+def _fields(spark, given) -> dict[str, str]:
+    if given.fields == "header":
+        return header_fields(RAW_COLUMNS)
+    if given.kafka:
+        messages = read_kafka(spark, given.kafka, given.topic)
+    else:
+        messages = spark.read.schema(MESSAGE).parquet(given.messages)
+    return ordered_fields(messages, RAW_COLUMNS)
+
+
 def ingest(store: Store, given) -> None:
     if given.kafka:
         stream = stream_kafka(store.spark, given.kafka, given.topic)
     else:
         stream = stream_message_files(store.spark, given.messages)
-    bronze.append_new(stream, store, header_fields(RAW_COLUMNS))
+    bronze.append_new(stream, store, _fields(store.spark, given))
 
 
 def load(store: Store, given) -> None:
+    spark = store.spark
     if given.kafka:
-        raw = bronze.load(store.spark, "kafka", servers=given.kafka, topic=given.topic)
+        fields = _fields(spark, given)
+        raw = bronze.load(spark, "kafka", servers=given.kafka, topic=given.topic, fields=fields)
+    elif given.messages:
+        messages = spark.read.schema(MESSAGE).parquet(given.messages)
+        raw = bronze.load(spark, "messages", messages=messages, fields=_fields(spark, given))
     else:
-        raw = bronze.load(store.spark, "csv", path=given.csv)
+        raw = bronze.load(spark, "csv", path=given.csv)
     bronze.append(raw, store)
 
 

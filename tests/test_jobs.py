@@ -1,10 +1,13 @@
 """The steps as a user runs them."""
 
+import json
+
 import pytest
 from conftest import request, values
 
 from civiclake.__main__ import main
 from civiclake.plans import bronze
+from civiclake.schemas import MESSAGE
 from civiclake.sources.csv import write_csv_text
 from civiclake.sources.tables import Store
 
@@ -50,6 +53,17 @@ def test_messages_arrive_once_and_join_the_batches(spark, folders):
     assert bronze.rows(store).count() == 4 + 5 + 2
 
 
+def test_messages_of_another_producer(spark, folders):
+    rows = [json.dumps({f"Header {i}": (str(k) if i == 0 else "01/02/2015 01:00:00 AM" if i == 1 else "")
+                        for i in range(44)}) for k in range(3)]
+    spark.createDataFrame([(None, row) for row in rows], MESSAGE).write.parquet(folders["messages"])
+    for store, step in (("store", "ingest"), ("other", "bronze")):
+        main([step, "--store", folders[store], "--messages", folders["messages"], "--fields", "order"], spark)
+        loaded = bronze.rows(Store(spark, folders[store]))
+        assert values(loaded, "unique_key", "created_date", "location") == [
+            (str(k), "01/02/2015 01:00:00 AM", None) for k in range(3)]
+
+
 def test_failed_rules_are_reported(spark, folders):
     main(["all", "--store", folders["store"], "--csv", folders["in"]], spark)
     store = Store(spark, folders["store"])

@@ -1,5 +1,7 @@
 """Files, messages, tables. Database and broker paths are checked up to the options they hand to Spark."""
 
+from types import SimpleNamespace
+
 import pytest
 from conftest import request, values
 from pyspark.sql import functions as F
@@ -85,6 +87,17 @@ def test_fields_are_found_by_name(spark):
     assert values(messages.decode_messages(raw, ["city"])) == [("b",)]
 
 
+def test_fields_in_file_order(spark):
+    bodies = ['{"B":"2"}', '{"Key No":"1","Town (old)":"x","B":"3"}', '{"B":"4","Key No":"5","Town (old)":"y"}']
+    df = spark.createDataFrame([(None, body) for body in bodies], schemas.MESSAGE).coalesce(1)
+    columns = ["key_no", "town", "b"]
+    fields = messages.ordered_fields(df, columns)
+    assert fields == {"key_no": "Key No", "town": "Town (old)", "b": "B"}
+    assert values(messages.decode_messages(df, columns, fields)) == [(None, None, "2"), ("1", "x", "3"), ("5", "y", "4")]
+    with pytest.raises(ValueError, match="2 fields"):
+        messages.ordered_fields(df, ["a", "b"])
+
+
 def test_header_names_are_encoded_and_decoded(spark, bronze_rows):
     rows = bronze_rows(request("1"), request("2", city=None))
     fields = messages.header_fields(rules.RAW_COLUMNS)
@@ -172,6 +185,16 @@ def test_jdbc_options():
         jdbc.write_jdbc(session, "url", "t", {}, "ignore")
 
 
+def test_jdbc_bounds(monkeypatch):
+    asked, bounds = [], SimpleNamespace(low=3, high=90)
+    reader = SimpleNamespace(jdbc=lambda url, table, properties: SimpleNamespace(first=lambda: bounds))
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda *given: asked.append(given[1:]))
+    jdbc.read_jdbc_by_key(SimpleNamespace(read=reader), "url", "t", {}, "id", 4)
+    bounds.low = bounds.high = None
+    jdbc.read_jdbc_by_key(SimpleNamespace(read=reader), "url", "t", {}, "id", 4)
+    assert asked == [("url", "t", {}, "id", 3, 90, 4), ("url", "t", {})]
+
+
 def test_export_options(spark, tmp_path, monkeypatch):
     store = Store(spark, str(tmp_path))
     store.write(spark.createDataFrame([(1, "X", "x", True, False)], schemas.STATUS), "status")
