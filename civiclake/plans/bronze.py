@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from civiclake.rules import RAW_COLUMNS
 from civiclake.sources.csv import read_csv_text
@@ -27,10 +28,12 @@ def load(spark, source: str, **options) -> DataFrame:
 
 
 def append(raw: DataFrame, store: Store) -> DataFrame:
-    """Append raw rows to the bronze table. No rows at all is an error."""
-    if raw.isEmpty():
+    """Append raw rows to the bronze table. No rows at all is an error; they are counted while they are written."""
+    written = Observation()
+    table = store.write(raw.observe(written, F.count(F.lit(1)).alias("rows")), BATCH, "append")
+    if written.get["rows"] == 0:
         raise ValueError("the source has no rows")
-    return store.write(raw, BATCH, "append")
+    return table
 
 
 def append_new(messages: DataFrame, store: Store, fields: dict[str, str] | None = None) -> DataFrame:

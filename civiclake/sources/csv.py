@@ -57,7 +57,9 @@ def read_csv_text(
         parts.append(_read(spark, list(plain), names, False))
     if broken:
         tasks = 1 + sum(broken.values()) // max(split_above, 1)
-        parts.append(_read(spark, list(broken), names, True).repartition(tasks))
+        # by row number: a re-run task deals alike, and copies of a row do not go together
+        numbered = _read(spark, list(broken), names, True).withColumn("_row", F.monotonically_increasing_id())
+        parts.append(numbered.repartition(tasks, "_row").drop("_row"))
     if len(large) < len(files):
         parts.append(_read(spark, [file.path for file in files if file.length <= split_above], names, True))
     return reduce(DataFrame.unionAll, parts)
