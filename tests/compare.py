@@ -70,7 +70,7 @@ def main(folder: str, names: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     duck, failed = connect(folder), 0
     queries, oracles = entry.queries(), entry.oracle_sql()
-    for name in names or queries:
+    for name in names or oracles:
         start = time.time()
         try:
             problem = difference(queries[name](spark, folder), duck, oracles[name])

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from fixture.oracles import all_oracles
+from fixture.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, duck, name):
     assert difference(entry.queries()[name](spark, FOLDER), duck, entry.oracle_sql()[name]) is None
 
