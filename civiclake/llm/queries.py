@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import simhash
+from civiclake.llm import langid, simhash
 from civiclake.llm.common import table
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.result(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.result(table(spark, sf_dir, "documents"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op10_simhash_near_dedup,)}
+    return {query.__name__: query for query in (op7_language_id, op10_simhash_near_dedup)}
 
 
 def all_oracles() -> dict[str, str]:
