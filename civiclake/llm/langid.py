@@ -27,9 +27,10 @@ UNDETERMINED = "und"
 FIT_DOCUMENTS = 400
 #: Symbols of a text that are looked up at once; bounds memory on very long texts.
 BLOCK = 1 << 17
-#: The rejection limit is this many times the largest excess seen in calibration, and at least LEAST_EXCESS.
+#: A text is rejected where its cross-entropy exceeds its language's mean by more than MARGIN nats plus SLACK times the largest
+#: excess seen in calibration, which is measured times the root of the number of symbols and shrinks by it.
 SLACK = 2.0
-LEAST_EXCESS = 4.0
+MARGIN = 0.5
 
 SPACE = 32
 #: Odd multipliers of the n-gram hash, one per place counted from the last symbol.
@@ -146,7 +147,7 @@ class Models:
             return UNDETERMINED, 0.0, False
         best = int(np.argmin(entropy))
         weights = np.exp(-(entropy - entropy[best]) * np.sqrt(count))
-        excess = (entropy[best] - self.mean[best]) * np.sqrt(count)
+        excess = (entropy[best] - self.mean[best] - MARGIN) * np.sqrt(count)
         return self.languages[best], float(1 / weights.sum()), bool(excess <= self.limit[best])
 
 
@@ -297,7 +298,7 @@ def fit(
         if len(own):
             models.mean[k] = np.average(own["entropy"], weights=own["n"])
             excess = ((own["entropy"] - models.mean[k]) * np.sqrt(own["n"])).max()
-            models.limit[k] = max(SLACK * excess, LEAST_EXCESS)
+            models.limit[k] = max(SLACK * excess, 0.0)
     return models
 
 

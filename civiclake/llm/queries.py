@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import langid, simhash
+from civiclake.llm import langid, secrets, simhash
 from civiclake.llm.common import table
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.result(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.result(table(spark, sf_dir, "documents"))
 
@@ -19,7 +23,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op7_language_id, op10_simhash_near_dedup)}
+    return {query.__name__: query for query in (op3_secret_scans, op7_language_id, op10_simhash_near_dedup)}
 
 
 def all_oracles() -> dict[str, str]:
