@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import langid, mixing, secrets, simhash
+from civiclake.llm import bpe, langid, mixing, secrets, simhash
 from civiclake.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.result(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.result(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.result(table(spark, sf_dir, "documents"))
 
@@ -27,7 +31,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op3_secret_scans, op5_mixing, op7_language_id, op10_simhash_near_dedup)}
+    chosen = [op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing, op7_language_id, op10_simhash_near_dedup]
+    return {query.__name__: query for query in chosen}
 
 
 def all_oracles() -> dict[str, str]:
