@@ -263,7 +263,7 @@ def _encoded(docs: DataFrame, id_column: str, text_column: str, path: str, kind:
         return pd.DataFrame([row] * copies, columns=schema.names)
 
     texts = id_and_bytes(docs, id_column, text_column)
-    decoded = F.decode("text", F.lit("UTF-8"))
+    decoded = F.col("text").cast("string")
     length = F.char_length(decoded)
     short = texts.where(length <= SPLIT).mapInArrow(whole, f"doc_id long, {columns}")
     number = F.sequence(F.lit(0), F.floor((length - 1) / SPLIT).cast("int"))
