@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, langid, mixing, secrets, simhash, substrings
+from civiclake.llm import bpe, langid, mixing, secrets, simhash, substrings, topk
 from civiclake.llm.common import table
 
 
+def op2_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.result(table(spark, sf_dir, "embeddings"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.result(table(spark, sf_dir, "documents"))
 
@@ -36,11 +40,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = [
-        op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing, op7_language_id, op9_substring_dedup,
+        op2_exact_top_k_search, op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing, op7_language_id, op9_substring_dedup,
         op10_simhash_near_dedup,
     ]
     return {query.__name__: query for query in chosen}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op5_mixing": mixing.oracle()}
+    return {"op2_exact_top_k_search": topk.oracle(), "op5_mixing": mixing.oracle()}
