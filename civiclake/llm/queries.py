@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, langid, mixing, secrets, simhash, substrings, topk
+from civiclake.llm import bpe, fingerprints, langid, mixing, secrets, simhash, substrings, topk
 from civiclake.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.result(table(spark, sf_dir, "documents"))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.result(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.result(table(spark, sf_dir, "documents"))
 
@@ -40,8 +44,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = [
-        op2_exact_top_k_search, op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing, op7_language_id, op9_substring_dedup,
-        op10_simhash_near_dedup,
+        op2_exact_top_k_search, op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing, op7_language_id,
+        op8_document_fingerprints, op9_substring_dedup, op10_simhash_near_dedup,
     ]
     return {query.__name__: query for query in chosen}
 
