@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, fingerprints, langid, mixing, secrets, simhash, substrings, topk
+from civiclake.llm import (
+    bpe, fingerprints, langid, licenses, mixing, secrets, simhash, substrings, token_counts, topk,
+)
 from civiclake.llm.common import table
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.result(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.result(table(spark, sf_dir, "embeddings"))
 
@@ -26,6 +32,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.result(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.result(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.result(table(spark, sf_dir, "documents"))
 
@@ -44,11 +54,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = [
-        op2_exact_top_k_search, op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing, op7_language_id,
-        op8_document_fingerprints, op9_substring_dedup, op10_simhash_near_dedup,
+        op1_license_scans, op2_exact_top_k_search, op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing,
+        op6_token_counts, op7_language_id, op8_document_fingerprints, op9_substring_dedup, op10_simhash_near_dedup,
     ]
     return {query.__name__: query for query in chosen}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op2_exact_top_k_search": topk.oracle(), "op5_mixing": mixing.oracle()}
+    return {
+        "op1_license_scans": licenses.oracle(), "op2_exact_top_k_search": topk.oracle(), "op5_mixing": mixing.oracle(),
+    }
