@@ -15,10 +15,10 @@ BATCH, STREAM = "request_raw", "request_raw_stream"
 
 
 def load(spark, source: str, **options) -> DataFrame:
-    """Raw rows. ``source`` is "csv" (``path``, ``multi_line``), "messages" (``messages``, ``fields``) or "kafka"
+    """Raw rows. ``source`` is "csv" (``path``), "messages" (``messages``, ``fields``) or "kafka"
     (``servers``, ``topic``, ``fields``)."""
     if source == "csv":
-        return read_csv_text(spark, options["path"], RAW_COLUMNS, options.get("multi_line"))
+        return read_csv_text(spark, options["path"], RAW_COLUMNS)
     if source == "messages":
         return decode_messages(options["messages"], RAW_COLUMNS, options.get("fields"))
     if source == "kafka":

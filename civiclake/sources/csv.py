@@ -1,77 +1,158 @@
-"""All-text CSV with a header, doubled quotes, and line breaks inside quotes."""
+"""All-text CSV with a header, doubled quotes, and line breaks inside quotes.
+
+Every file is split, line breaks inside quotes or not, and one rule says what a record is, whatever the size of a file or of its
+parts. Only ``\\n`` ends a line. At a line's start a reader is outside or inside quotes, so a line is a function of two states;
+functions compose, first over a part's lines and then over a file's parts, and every line learns how it starts. A record is a line
+that starts outside quotes and isn't empty, with those after it that start inside.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import unquote
+import csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from civiclake.schemas import text_schema
-
-SPLIT_ABOVE = 128 << 20
 _FORMAT = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+_PART = ["file", "part"]
 
+# Places of a reader within a line, and where a quote, a comma or other text leads from each. A quote opens a quoted field only at
+# the field's start; after a closing quote, text up to the next comma belongs to the field.
+_START, _PLAIN, _QUOTED, _CLOSING, _AFTER = range(5)
+_STEPS = [
+    (_QUOTED, _START, _PLAIN), (_PLAIN, _START, _PLAIN), (_CLOSING, _QUOTED, _QUOTED), (_QUOTED, _START, _AFTER),
+    (_AFTER, _START, _AFTER),
+]
 
-def files_by_line_breaks(spark: SparkSession, paths: list[str]) -> tuple[dict[str, int], dict[str, int]]:
-    """The files and their sizes, split into those without and those with line breaks inside quotes.
 
-    A record goes on over a line break exactly when a line has an odd number of quotes (a doubled quote counts two), so
-    this needs no CSV parsing and any part of a file can be looked at on its own. One row per file reaches the driver,
-    which knows the files in any case.
+def _ends(line: Column) -> Column:
+    """Whether a line ends inside quotes: 2 if it does when it starts outside, plus 1 if it does when it starts inside."""
+    # both starts at once: place from outside * 5 + place from inside
+    steps = F.array(*(
+        F.lit(5 * _STEPS[one][token] + _STEPS[other][token]) for one in range(5) for other in range(5) for token in range(3)
+    ))
+    short = F.translate(F.regexp_replace(line, '[^",]+', "x"), '",x', "012")
+    tokens = F.filter(F.split(short, ""), lambda token: token != "")
+    places = F.aggregate(
+        tokens, F.lit(5 * _START + _QUOTED), lambda at, token: F.get(steps, at * 3 + F.ascii(token) - F.lit(ord("0")))
+    )
+    outside, inside = F.floor(places / 5) == _QUOTED, places % 5 == _QUOTED
+    ends = F.when(outside, 2).otherwise(0) + F.when(inside, 1).otherwise(0)
+    return F.when(line.contains('"'), ends).otherwise(1).cast("int")  # without quotes nothing changes
+
+
+def _with_states(rows: DataFrame, order: Window, ends: str) -> DataFrame:
+    """Adds ``from_outside`` and ``from_inside``, the state (0 outside, 1 inside) before each row by how the window starts.
+
+    A row sets the state (``ends`` 0 or 3), keeps it (1) or turns it (2). So the last row that set it counts, and the turns since.
     """
-    lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    turn = F.when(F.col(ends) == 2, 1).otherwise(0)
+    turned = rows.withColumn("_turns", F.sum(turn).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    setting = F.when(F.col(ends).isin(0, 3), F.struct(F.when(F.col(ends) == 3, 1).otherwise(0).alias("state"), "_turns"))
+    known = turned.withColumns({
+        "_set": F.last(setting, ignorenulls=True).over(before), "_before": F.coalesce(F.col("_turns") - turn, F.lit(0)),
+    })
+
+    def state(start: int) -> Column:
+        return F.when(F.col("_set").isNull(), (F.lit(start) + F.col("_before")) % 2).otherwise(
+            (F.col("_set.state") + F.col("_before") - F.col("_set._turns")) % 2
+        ).cast("int")
+
+    return known.withColumns({"from_outside": state(0), "from_inside": state(1)}).drop("_turns", "_set", "_before")
+
+
+def _after(state: str, ends: str = "ends") -> Column:
+    """The state after a row, from the state before it."""
+    return F.when(F.col(state) == 0, F.when(F.col(ends) >= 2, 1).otherwise(0)).otherwise(F.col(ends) % 2).cast("int")
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All lines with their file, part (where the part starts) and place (ascending within a part)."""
+    text = spark.read.option("lineSep", "\n").text(path)
+    return text.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"),
+        F.monotonically_increasing_id().alias("place"), "value", _ends(F.col("value")).alias("ends"),
     )
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    files = lines.groupBy("file", "size").agg(F.bool_or(quotes % 2 == 1).alias("broken")).collect()
-    plain, broken = ({unquote(f.file): f.size for f in files if f.broken == kind} for kind in (False, True))
-    return plain, broken
-
-
-def read_csv_text(
-    spark: SparkSession,
-    path: str | list[str],
-    names: list[str],
-    multi_line: bool | None = None,
-    split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
+
+
+def _parts(lines: DataFrame) -> DataFrame:
+    """One row per part of a file: the state it starts in, the part where the record open at its start began (``origin``), and
+    whether it ends inside a record. Only lines that change a state are sorted, without their text."""
+    last = lines.groupBy(*_PART).agg(F.max("place").alias("last"))
+    changes = lines.where("ends <> 1").select(*_PART, "place", "ends")
+    stated = _with_states(changes, Window.partitionBy(*_PART).orderBy("place"), "ends").select(
+        *_PART, "place", _after("from_outside").alias("outside"), _after("from_inside").alias("inside")
+    )
+    ends = stated.groupBy(*_PART).agg(
+        F.max(F.struct("place", "outside", "inside")).alias("end"), F.min(F.when(F.col("inside") == 0, F.col("place"))).alias("left")
+    )
+    whole = last.join(ends, _PART, "left").select(
+        *_PART, (2 * F.coalesce("end.outside", F.lit(0)) + F.coalesce("end.inside", F.lit(1))).cast("int").alias("ends"),
+        F.coalesce(F.col("left") < F.col("last"), F.lit(False)).alias("leaves"),
+    )
+    in_file = Window.partitionBy("file").orderBy("part")
+    known = _with_states(whole, in_file, "ends")
+    begins = (F.col("from_outside") == 0) | F.col("leaves")
+    origin = F.last(F.when(begins, F.col("part")), ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    return known.select(
+        *_PART, F.col("from_outside").alias("start"), origin.alias("origin"), (_after("from_outside") == 1).alias("stays_open")
+    )
+
+
+def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``record``, the text of each record of the files, and ``is_header``, whether it is its file's first.
+
+    Empty lines outside quotes are no records; a line of blanks is one. A carriage return at a record's end goes.
+    """
+    lines = _lines(spark, path)
+    parts = _parts(lines)
+    order = Window.partitionBy(*_PART).orderBy("place")
+    # a part's lines are together for the windows, so its one row of _parts meets them there
+    known = _with_states(lines, order, "ends").join(parts, _PART)
+    state = F.when(F.col("start") == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
+    known = known.withColumn("state", state).withColumn("after", _after("state"))
+    known = known.where((F.col("state") == 1) | ~F.col("value").isin("", "\r"))
+    number = F.sum(F.when(F.col("state") == 0, 1).otherwise(0))
+    numbered = known.withColumns({
+        "number": number.over(order.rowsBetween(Window.unboundedPreceding, 0)), "numbers": number.over(Window.partitionBy(*_PART)),
+    })
+    is_first = (F.col("part") == 0) & (F.col("number") == 1)
+    alone = (F.col("state") == 0) & (F.col("after") == 0)
+    single = numbered.where(alone).select(F.col("value").alias("record"), is_first.alias("is_header"))
+    # a record that a part leaves open goes by that part, as do its lines in later parts
+    is_open = F.col("stays_open") & (F.col("number") == F.col("numbers"))
+    pieces = numbered.where(~alone).select(
+        "file", F.when(F.col("number") == 0, F.col("origin")).otherwise(F.col("part")).alias("owner"),
+        F.when((F.col("number") == 0) | is_open, -1).otherwise(F.col("number")).alias("of"), "part", "place", "value", is_first.alias("first"),
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("part", "place", "value")))
+    joined = pieces.groupBy("file", "owner", "of").agg(
+        F.array_join(F.transform(ordered, lambda line: line["value"]), "\n").alias("record"), F.bool_or("first").alias("is_header")
+    ).select("record", "is_header")
+    whole = single.unionAll(joined)
+    return whole.withColumn("record", F.regexp_replace("record", "\r$", ""))
+
+
+def read_csv_text(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
     """Every field as text under the given names, by position. Empty fields are NULL.
 
-    A file with line breaks inside quotes can only be read from its start, by one task; others can be split. With
-    ``multi_line=None`` the files larger than ``split_above`` bytes are looked at first. Those without such line breaks
-    are split. The rows of the others are dealt out to one task per ``split_above`` bytes right after parsing, so
-    nothing else is done by that one task. ``True`` or ``False`` settles the reading for all files. A header with
-    another number of columns is an error, and so is a file whose header differs from the first one's.
+    Header names may be blank or repeat. A header with another number of columns is an error, and so is a file whose header
+    differs from another's. No files' rows depend on how the files are split; ``spark.sql.files.maxPartitionBytes`` says how.
     """
-    if multi_line is not None:
-        return _read(spark, path, names, multi_line)
-    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
-    large = [file.path for file in files if file.length > split_above]
-    if not large:
-        return _read(spark, path, names, True)
-    plain, broken = files_by_line_breaks(spark, large)
-    parts = []
-    if plain:
-        parts.append(_read(spark, list(plain), names, False))
-    if broken:
-        tasks = 1 + sum(broken.values()) // max(split_above, 1)
-        # by row number: a re-run task deals alike, and copies of a row do not go together
-        numbered = _read(spark, list(broken), names, True).withColumn("_row", F.monotonically_increasing_id())
-        parts.append(numbered.repartition(tasks, "_row").drop("_row"))
-    if len(large) < len(files):
-        parts.append(_read(spark, [file.path for file in files if file.length <= split_above], names, True))
-    return reduce(DataFrame.unionAll, parts)
-
-
-def _read(spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool) -> DataFrame:
-    reader = spark.read.options(**_FORMAT, multiLine=str(multi_line).lower())
-    header = reader.csv(path).columns
-    if len(header) != len(names):
-        raise ValueError(f"the file has {len(header)} columns, {len(names)} were expected")
-    typed = reader.schema(text_schema(header)).option("enforceSchema", "false")
-    return typed.csv(path).toDF(*names)
+    found = records(spark, path)
+    headers = found.where("is_header").select("record").distinct().limit(2).collect()
+    if len(headers) > 1:
+        raise ValueError("the files differ in their header")
+    for header in headers:
+        columns = next(csv.reader([header.record.removeprefix("﻿")], strict=False))
+        if len(columns) != len(names):
+            raise ValueError(f"the file has {len(columns)} columns, {len(names)} were expected")
+    options = {**_FORMAT, "multiLine": "true", "lineSep": "\n", "maxCharsPerColumn": "-1"}
+    schema = ", ".join(f"`c{k}` string" for k in range(len(names)))
+    parsed = found.where("not is_header").select(F.from_csv("record", F.lit(schema), options).alias("row"))
+    return parsed.select(*[F.col(f"row.c{k}").alias(name) for k, name in enumerate(names)])
 
 
 def write_csv_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -1,5 +1,7 @@
 """Files, messages, tables. Database and broker paths are checked up to the options they hand to Spark."""
 
+import csv
+import random
 from types import SimpleNamespace
 
 import pytest
@@ -10,7 +12,7 @@ from civiclake import rules, schemas
 from civiclake.plans import bronze
 from civiclake.plans.views import register_views
 from civiclake.sources import jdbc, messages
-from civiclake.sources.csv import files_by_line_breaks, read_csv_text, write_csv_text
+from civiclake.sources.csv import read_csv_text, write_csv_text
 from civiclake.sources.tables import Store, create_tables, save_as_table
 
 TEXTS = [("1", 'say "hi", twice'), ("2", "two\nlines\n\nand more"), ("3", " blanks "), ("4", None), ("5", "ü,;"),
@@ -20,39 +22,61 @@ TEXTS = [("1", 'say "hi", twice'), ("2", "two\nlines\n\nand more"), ("3", " blan
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame(TEXTS, "Id string, `My Text` string")
     write_csv_text(df.repartition(3), str(tmp_path / "csv"))
-    for multi_line in (None, True):
-        back = read_csv_text(spark, str(tmp_path / "csv"), ["id", "text"], multi_line)
-        assert back.columns == ["id", "text"] and values(back) == TEXTS
-
-
-def test_csv_of_another_program(spark, tmp_path):
-    (tmp_path / "a b.csv").write_text('K,V\n1,"x ""y"" z"\n2,\n3,""\n4, 007 \n')
-    (tmp_path / "c%20d+e.csv").write_text('K,V\n5,"two\nlines"\n')
-    plain, broken = files_by_line_breaks(spark, [str(tmp_path)])
-    assert [len(plain), len(broken)] == [1, 1]
-    assert list(plain)[0].endswith("/a b.csv") and list(broken)[0].endswith("/c%20d+e.csv")
-    assert list(plain.values()) == [(tmp_path / "a b.csv").stat().st_size]
-    for split_above in (1, 24, 1 << 20):
-        assert values(read_csv_text(spark, str(tmp_path), ["k", "v"], split_above=split_above)) == [
-            ("1", 'x "y" z'), ("2", None), ("3", None), ("4", " 007 "), ("5", "two\nlines")]
-
-
-def test_large_plain_csv_is_read_in_parts(spark, tmp_path):
-    (tmp_path / "big.csv").write_text("K,V\n" + "".join(f"{i},text {i}\n" for i in range(50_000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
-    try:
-        df = read_csv_text(spark, str(tmp_path / "big.csv"), ["k", "v"], split_above=100_000)
-        assert df.select(F.spark_partition_id()).distinct().count() > 3
-        assert df.count() == 50_000 and df.select("k").distinct().count() == 50_000
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-def test_rows_of_a_large_broken_csv_are_dealt_out(spark, tmp_path):
+    back = read_csv_text(spark, str(tmp_path / "csv"), ["id", "text"])
+    assert back.columns == ["id", "text"] and values(back) == TEXTS
+
+
+@pytest.fixture
+def part_bytes(spark):
+    """Sets how many bytes of a file one task reads."""
+    name = "spark.sql.files.maxPartitionBytes"
+    yield lambda size: spark.conf.set(name, str(size))
+    spark.conf.unset(name)
+
+
+FOREIGN = (
+    'K, ,K\n1,"x ""y"" z",\n2,,\n\n3,"",a\rb\n   \n4, 007 ,stray " quote\n\r\n5,"two\nlines","and\r\nmore, with ""q""\n\n""end"""\n'
+    '6,"a" b,"c"\r\n7,"long ' + "line\n" * 40 + '",x\n8,"""",no end'
+)
+FOREIGN_ROWS = [
+    ("   ", None, None), ("1", 'x "y" z', None), ("2", None, None), ("3", None, "a\rb"), ("4", " 007 ", 'stray " quote'),
+    ("5", "two\nlines", 'and\r\nmore, with "q"\n\n"end"'), ("7", "long " + "line\n" * 40, "x"), ("8", '"', "no end"),
+]
+
+
+@pytest.mark.parametrize("size", [7, 16, 33, 64, 1 << 20])
+def test_rows_do_not_depend_on_how_a_file_is_split(spark, tmp_path, part_bytes, size):
+    (tmp_path / "[1] a b.csv").write_bytes(FOREIGN.encode())
+    (tmp_path / "c%20d+e{x}.csv").write_bytes(b'K, ,K\n9,"two\nlines",\n')
+    part_bytes(size)
+    found = [row for row in values(read_csv_text(spark, str(tmp_path), ["k", "v", "w"])) if row[0] != "6"]
+    assert found == FOREIGN_ROWS + [("9", "two\nlines", None)]
+
+
+def test_random_files_equal_a_whole_read(spark, tmp_path, part_bytes):
+    rng = random.Random(1)
+    for k in range(4):
+        fields = [["".join(rng.choice('ab,"\n ') for _ in range(rng.randrange(9))) for _ in range(3)] for _ in range(60)]
+        rows = [["x" + row[0], *row[1:]] for row in fields]
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        with open(folder / "f.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator="\n", quoting=csv.QUOTE_MINIMAL if k % 2 else csv.QUOTE_ALL)
+            writer.writerows([["a", "b", "c"], *rows])
+        part_bytes(rng.choice((11, 40, 90)))
+        assert values(read_csv_text(spark, str(folder), ["a", "b", "c"])) == sorted(
+            (tuple(v or None for v in row) for row in rows), key=lambda row: [(v is not None, v) for v in row]
+        )
+
+
+def test_one_multi_line_file_is_parsed_by_several_tasks(spark, tmp_path, part_bytes):
     (tmp_path / "big.csv").write_text("K,V\n" + "".join(f'{i},"text\n{i}"\n' for i in range(20_000)))
-    df = read_csv_text(spark, str(tmp_path), ["k", "v"], split_above=100_000)
-    sizes = [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) >= 3 and max(sizes) < 10_000
+    part_bytes(50_000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = read_csv_text(spark, str(tmp_path), ["k", "v"])
+    tasks = df.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) >= 3 and max(row["count"] for row in tasks) < 15_000
     assert {(r.k, r.v) for r in df.collect()} == {(str(i), f"text\n{i}") for i in range(20_000)}
 
 
