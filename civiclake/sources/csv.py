@@ -110,7 +110,7 @@ def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     parts = _parts(lines)
     order = Window.partitionBy(*_PART).orderBy("place")
     # a part's lines are together for the windows, so its one row of _parts meets them there
-    known = _with_states(lines, order, "ends").join(parts, _PART)
+    known = _with_states(lines, order, "ends").join(parts.hint("merge"), _PART)
     state = F.when(F.col("start") == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
     known = known.withColumn("state", state).withColumn("after", _after("state"))
     known = known.where((F.col("state") == 1) | ~F.col("value").isin("", "\r"))
