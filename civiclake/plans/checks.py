@@ -25,6 +25,20 @@ def quality_report(requests: DataFrame, location: DataFrame,
     return judge(facts.unionAll(places), rules.QUALITY_LIMITS)
 
 
+def contract_report(tables: dict[str, DataFrame], official: list[str] = rules.OFFICIAL_BOROUGHS) -> DataFrame:
+    """All rules of the contract: the quality report, and required columns, keys and references as rules without exception."""
+    counts = [
+        missing_values(tables).select(F.concat_ws(".", F.lit("required"), "table_name", "column_name"), "violations"),
+        repeated_keys(tables).select(F.concat_ws(".", F.lit("unique"), "table_name"), "violations"),
+        broken_references(tables).select(F.concat_ws(".", F.lit("reference"), F.lit("requests"), "column_name"), "violations"),
+    ]
+    counted = reduce(DataFrame.unionAll, counts).toDF("metric", "violations").select(
+        "metric", F.col("violations").cast("double").alias("value"), F.lit("=").alias("comparison"),
+        F.lit(0.0).alias("threshold"), F.lit("error").alias("severity"), (F.col("violations") == 0).alias("passed"),
+    )
+    return quality_report(tables["requests"], tables["location"], official).unionAll(counted)
+
+
 def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
     """NULLs in required columns, by table and column."""
     parts = [null_violations(tables[name], name, columns) for name, columns in rules.REQUIRED_COLUMNS.items()]

@@ -42,9 +42,10 @@ def read_jdbc_by_key(
     bounds = spark.read.jdbc(
         url, f"(select min({column}) as low, max({column}) as high from {table}) bounds", properties=properties
     ).first()
-    if bounds.low is None or bounds.low == bounds.high:
+    low, high = bounds  # by place, since databases differ in the case of names
+    if low is None or low == high:
         return read_jdbc(spark, url, table, properties)
-    return read_jdbc(spark, url, table, properties, column, int(bounds.low), int(bounds.high), parts)
+    return read_jdbc(spark, url, table, properties, column, int(low), int(high), parts)
 
 
 def write_jdbc(
@@ -62,7 +63,9 @@ def write_jdbc(
     )
 
 
-def export(store: Store, url: str, properties: dict[str, str], tables: list[str] | None = None) -> None:
+def export(
+    store: Store, url: str, properties: dict[str, str], tables: list[str] | None = None, connections: int = 16
+) -> None:
     """Replace the rows of database tables by those of the stored ones (default: all of silver and gold)."""
     for table in tables or [name for name in DATABASE_TABLES if name != "request_raw"]:
-        write_jdbc(store.read(table), url, DATABASE_TABLES[table], properties, "overwrite")
+        write_jdbc(store.read(table), url, DATABASE_TABLES[table], properties, "overwrite", connections)

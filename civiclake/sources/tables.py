@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from civiclake.functions.labels import all_true
 from civiclake.operators.dedupe import keep_first
 from civiclake.schemas import TABLES
 
@@ -43,14 +45,16 @@ class Store:
         return True
 
     def insert_absent(self, rows: DataFrame, table: str, keys: list[str]) -> DataFrame:
-        """Append the rows whose key the table does not hold yet; running it again changes nothing.
+        """Append the rows whose key the table does not hold yet; running it again changes nothing. NULL is a key like any other.
 
         Of several new rows with one key the first by the other columns is taken.
         """
         others = [name for name in rows.columns if name not in keys]
         new = keep_first(rows, keys, others[:1], others) if others else rows.distinct()
         if self.exists(table):
-            new = new.join(self.read(table).select(*keys), keys, "left_anti").select(*rows.columns)
+            held = self.read(table).select(*[F.col(key).alias(f"_held_{key}") for key in keys])
+            same = all_true([F.col(key).eqNullSafe(F.col(f"_held_{key}")) for key in keys])
+            new = new.join(held, same, "left_anti").select(*rows.columns)
         return self.write(new, table, "append")
 
 

@@ -15,14 +15,14 @@ from civiclake.operators.dimensions import calendar_dim, distinct_dim
 from civiclake.operators.lookups import join_back, lookup_key, unmatched
 from civiclake.operators.numbering import surrogate_key
 from civiclake.operators.quality import fk_violations, pk_violations
-from civiclake.operators.rollups import share_of_parent
+from civiclake.operators.rollups import first_rows, share_of_parent
 from civiclake.plans import bronze, checks, reports, run, silver, star
 from civiclake.plans.views import register_views
 from civiclake.rules import RAW_COLUMNS
 from civiclake.schemas import MESSAGE
 from civiclake.session import pin_settings, scratch_path
 from civiclake.sources.csv import read_csv_text, write_csv_text
-from civiclake.sources.messages import decode_inferred, decode_messages, encode_messages
+from civiclake.sources.messages import decode_inferred, decode_messages, encode_messages, matched_fields
 from civiclake.sources.tables import Store
 from civiclake.streaming.ingest import append_available, stream_message_files
 from fixture.raw import (
@@ -54,6 +54,26 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_text(spark, path, documents.columns)
 
 
+def csv_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in CSV files read in parts of 64 KiB, so that many records span two parts."""
+    documents = table(spark, sf_dir, "documents")
+    root = scratch_path(spark, "documents-split")
+    write_csv_text(documents, f"{root}/csv")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(64 << 10))
+    try:  # worked out here, while the setting holds
+        read_csv_text(spark, f"{root}/csv", documents.columns).write.parquet(f"{root}/rows")
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.parquet(f"{root}/rows")
+
+
+def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first hundred orders by date and key."""
+    return first_rows(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], 100)
+
+
 def bronze_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw-csv")
     write_csv_text(raw(spark, sf_dir), path)
@@ -71,15 +91,31 @@ def json_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.load(spark, "messages", messages=messages)
 
 
-def infer_message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string"), F.col("user_id").cast("string"), "event_type", "props"
+def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of ``events`` as text; the value in whole thousandths, which every engine writes alike."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.col("user_id").cast("string"), "event_type", F.floor(F.col("value") * 1000).cast("string").alias("value"), "props",
     )
-    return decode_inferred(encode_messages(events, "event_id"))
+
+
+def infer_message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_inferred(encode_messages(_event_texts(spark, sf_dir), "event_id"))
+
+
+def decode_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose fields are named like a file's header, matched to columns by name or by a given table."""
+    events = _event_texts(spark, sf_dir)
+    fields = {"event_id": "Event ID", "ts": "Time Stamp", "user_id": "USER-id", "event_type": "event type",
+              "value": "Value", "props": "Props"}
+    messages = encode_messages(events, "event_id", fields)
+    return decode_messages(messages, events.columns, matched_fields(messages, events.columns, {"ts": "Time Stamp"}))
 
 
 def insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
+    """One segment's customers, then all, twice; those with a debt have no key, and are told apart by nothing but that."""
+    key = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey"))
+    customer = table(spark, sf_dir, "customer").withColumn("c_custkey", key)
     store = Store(spark, scratch_path(spark, "insert"))
     store.write(customer.where(F.col("c_mktsegment") == "BUILDING"), "customer")
     store.insert_absent(customer, "customer", ["c_custkey"])
@@ -90,9 +126,7 @@ def insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_available_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries and three runs: each message arrives once."""
-    events = table(spark, sf_dir, "events").withColumns(
-        {name: F.col(name).cast("string") for name in ("event_id", "user_id")}
-    ).select("event_id", "user_id", "event_type", "props")
+    events = _event_texts(spark, sf_dir)
     root = scratch_path(spark, "ingest")
     early = F.col("event_type") == "click"
     for delivery in (early, ~early):
@@ -310,6 +344,10 @@ def _contract_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return dict(zip(names, _star(spark, sf_dir, *names)))
 
 
+def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.contract_report(_contract_tables(spark, sf_dir), TEST_BOROUGHS)
+
+
 def null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.missing_values(_contract_tables(spark, sf_dir))
 
@@ -361,7 +399,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = [
-    csv_round_trip, bronze_from_csv, json_encode_decode, infer_message_fields, insert_absent, ingest_available_twice,
+    csv_round_trip, csv_multiline_split, first_orders, contract_report, decode_by_header, bronze_from_csv, json_encode_decode, infer_message_fields, insert_absent, ingest_available_twice,
     streaming_clean, clean_projection, valid_interval_filter, keep_first_per_key, silver_rows, events_calendar,
     date_parts, code_label_dim, category_dim, surrogate_key_scaled, date_dim, agency_dim, location_dim, complaint_dim,
     status_lookup, lookup_left_join, lookup_nullsafe_join, lookup_salted_join, lookup_renamed_key, hours_to_ship, fact,

@@ -40,6 +40,7 @@ def test_zero_and_bad_coordinates_become_null(spark):
 
 def test_whole_number(spark):
     assert apply(spark, text.whole_number("v"), ["12", " 7 ", "x", "", None, "1" * 30]) == [12, 7] + [None] * 4
+    assert apply(spark, text.whole_number("v"), ["123.0", "-123.9", " 4. ", "1e3", "1.2.3", "1.x"]) == [123, -123, 4] + [None] * 3
 
 
 def test_clock_time(spark):

@@ -94,9 +94,8 @@ def test_messages(spark):
                                "unique_key string, city string, zip string")
     encoded = messages.encode_messages(df, "unique_key")
     assert values(encoded, "key") == [("1",), ("2",)]
-    assert messages.encode_messages(df, "unique_key", max_rows=1).count() == 1
     assert values(messages.decode_messages(encoded, ["unique_key", "city", "zip"])) == [(" 2 ", None, "q"), ("1", "a", None)]
-    assert messages.field_names(encoded) == ["city", "unique_key", "zip"]
+    assert values(messages.field_names(encoded)) == [("city",), ("unique_key",), ("zip",)]
     assert values(messages.decode_inferred(encoded)) == [(None, " 2 ", "q"), ("a", "1", None)]
 
 
@@ -106,13 +105,13 @@ def test_fields_are_found_by_name(spark):
     fields = messages.header_fields(["unique_key", "city"])
     got = messages.decode_messages(df, ["unique_key", "city"], fields)
     assert values(got) == [(None, None)] * 3 + [("1", "c"), ("2", None)]
-    assert messages.field_names(df) == ["City", "Other", "Unique Key"]
+    assert values(messages.field_names(df)) == [("City",), ("Other",), ("Unique Key",)]
     raw = spark.createDataFrame([(bytearray(b'{"city":"b"}'),)], "value binary")
     assert values(messages.decode_messages(raw, ["city"])) == [("b",)]
 
 
 def test_fields_in_file_order(spark):
-    bodies = ['{"B":"2"}', '{"Key No":"1","Town (old)":"x","B":"3"}', '{"B":"4","Key No":"5","Town (old)":"y"}']
+    bodies = ['{"B":"2"}', '{"Key No":"1","Town (old)":"x","B":"3"}', '{"Key No":"5","Town (old)":"y","B":"4"}']
     df = spark.createDataFrame([(None, body) for body in bodies], schemas.MESSAGE).coalesce(1)
     columns = ["key_no", "town", "b"]
     fields = messages.ordered_fields(df, columns)
@@ -120,6 +119,28 @@ def test_fields_in_file_order(spark):
     assert values(messages.decode_messages(df, columns, fields)) == [(None, None, "2"), ("1", "x", "3"), ("5", "y", "4")]
     with pytest.raises(ValueError, match="2 fields"):
         messages.ordered_fields(df, ["a", "b"])
+    mixed = df.union(spark.createDataFrame([(None, '{"B":"4","Key No":"5","Town (old)":"y"}')], schemas.MESSAGE))
+    with pytest.raises(ValueError, match="order"):
+        messages.ordered_fields(mixed, columns)
+
+
+def test_fields_are_matched_or_refused(spark):
+    bodies = ['{"BBL":"1","X Coordinate (State Plane)":"2"}', '{"Complaint Type":"3","bbl":null}', "no json", None]
+    df = spark.createDataFrame([(None, body) for body in bodies[:1]], schemas.MESSAGE)
+    known = {"x_coordinate": "X Coordinate (State Plane)"}
+    fields = messages.matched_fields(df, ["x_coordinate", "bbl"], known)
+    assert values(messages.decode_messages(df, ["x_coordinate", "bbl"], fields)) == [("2", "1")]
+    for columns, told in ((["bbl"], "X Coordinate"), (["x_coordinate", "bbl", "borough"], "borough")):
+        with pytest.raises(ValueError, match=told):
+            messages.matched_fields(df, columns, known if len(columns) > 1 else None)
+    both = spark.createDataFrame([(None, body) for body in bodies], schemas.MESSAGE)
+    with pytest.raises(ValueError, match="several: .'bbl'"):
+        messages.matched_fields(both, ["x_coordinate", "bbl", "problem"], {**known, "problem": "Complaint Type"})
+
+
+def test_any_number_of_field_names(spark):
+    body = F.to_json(F.map_from_entries(F.transform(F.sequence(F.lit(1), F.lit(10_001)), lambda k: F.struct(k.cast("string"), F.lit("")))))
+    assert messages.field_names(spark.range(2).select(body.alias("value"))).count() == 10_001
 
 
 def test_header_names_are_encoded_and_decoded(spark, bronze_rows):
@@ -149,9 +170,10 @@ def test_insert_absent(spark, tmp_path):
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     more = spark.createDataFrame([(2, "other"), (3, "d"), (3, "c")], "k int, v string")
     assert not store.exists("t")
-    for rows in (first, more, more, first):
+    unknown = spark.createDataFrame([(None, "n"), (1, "x")], "k int, v string")
+    for rows in (first, more, more, first, unknown, unknown):
         store.insert_absent(rows, "t", ["k"])
-    assert store.exists("t") and values(store.read("t")) == [(1, "a"), (2, "b"), (3, "c")]
+    assert store.exists("t") and values(store.read("t")) == [(None, "n"), (1, "a"), (2, "b"), (3, "c")]
 
 
 def test_catalog_tables(spark, bronze_rows):
@@ -210,11 +232,11 @@ def test_jdbc_options():
 
 
 def test_jdbc_bounds(monkeypatch):
-    asked, bounds = [], SimpleNamespace(low=3, high=90)
+    asked, bounds = [], [3, 90]
     reader = SimpleNamespace(jdbc=lambda url, table, properties: SimpleNamespace(first=lambda: bounds))
     monkeypatch.setattr(jdbc, "read_jdbc", lambda *given: asked.append(given[1:]))
     jdbc.read_jdbc_by_key(SimpleNamespace(read=reader), "url", "t", {}, "id", 4)
-    bounds.low = bounds.high = None
+    bounds[:] = [None, None]
     jdbc.read_jdbc_by_key(SimpleNamespace(read=reader), "url", "t", {}, "id", 4)
     assert asked == [("url", "t", {}, "id", 3, 90, 4), ("url", "t", {})]
 
@@ -225,7 +247,7 @@ def test_export_options(spark, tmp_path, monkeypatch):
     calls = []
     monkeypatch.setattr(jdbc, "write_jdbc", lambda df, *rest: calls.append((values(df), *rest)))
     jdbc.export(store, "url", {"user": "u"}, ["status"])
-    assert calls == [([(1, "X", "x", True, False)], "url", "gold.status", {"user": "u"}, "overwrite")]
+    assert calls == [([(1, "X", "x", True, False)], "url", "gold.status", {"user": "u"}, "overwrite", 16)]
 
 
 def test_kafka_needs_its_connector(spark):
