@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +16,30 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one batch at a time as stars around their smallest nodes, which connect the same nodes by fewer links."""
+    for batch in batches:
+        parent: dict[int, int] = {}
+
+        def root(node: int) -> int:
+            while (above := parent.setdefault(node, node)) != node:
+                parent[node] = parent[above]
+                node = above
+            return node
+
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            low, high = sorted((root(u), root(v)))
+            parent[high] = low
+        stars = [(node, at) for node in parent if (at := root(node)) != node]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[k] for x in stars], pa.int64()) for k in (0, 1)], ["u", "v"]
+        )
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _least(both).withColumn("m", F.least("u", "m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -27,27 +50,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Row count and an order-free hash, to see whether a round changed anything."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether a node has two roots, or is a root and has one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")).union(
+        edges.select(F.col("v").alias("node"), F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("root").alias("root"))
+    return not seen.where("child + root > 1").isEmpty()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Each node of ``links`` (two long columns) as ``node`` with ``root``, the smallest node it can reach.
 
     Links may repeat, and go either way; links of a node to itself and links with nulls are left out. A node without any
-    other link is not in the result. No links: an empty table. Every round is a written table; only a count and a hash come
-    to the driver.
+    other link is not in the result. No links: an empty table. Every round is a written table, and nothing but whether
+    a round is needed comes to the driver.
     """
-    edges = stored(
-        links.where(f"`{a}` <> `{b}`").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links"
-    )
-    state = _state(edges)
-    while state[0]:
+    chosen = links.where(f"`{a}` <> `{b}`").select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v"))
+    edges = stored(chosen.mapInArrow(_contracted, "u long, v long").distinct(), "links")
+    while _unfinished(edges):
         edges = stored(_small_star(_large_star(edges)), "links")
-        state, former = _state(edges), state
-        if state == former:
-            break
     return (
         edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         .union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

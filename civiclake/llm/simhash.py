@@ -80,7 +80,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     entries = segments.select(F.col("fp").alias("b"), "key")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-    return probes.join(entries, (probes["key"] == entries["key"]) & near).select("a", "b")
+    return probes.join(entries.hint("merge"), (probes["key"] == entries["key"]) & near).select("a", "b")
 
 
 def near_duplicates(
@@ -95,10 +95,10 @@ def near_duplicates(
     rows = stored(fingerprints(docs, id_column, text_column), "fingerprints")
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), distance)).withColumnRenamed("node", "fp")
-    grouped = distinct.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    grouped = distinct.join(roots.hint("merge"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = stored(grouped.join(least, "root").select("fp", "component_id"), "classes")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = stored(grouped.join(least.hint("merge"), "root").select("fp", "component_id"), "classes")
+    return rows.join(classes.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def result(docs: DataFrame) -> DataFrame:
