@@ -10,7 +10,7 @@ from civiclake.operators.lookups import fits_broadcast
 
 
 def star_sums(
-    fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = (), measure: Column | None = None
+    fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = (), measure: Column | None = None, shuffle: bool = False
 ) -> DataFrame:
     """Facts per combination of the dimensions' columns and the fact's ``by`` columns.
 
@@ -20,11 +20,12 @@ def star_sums(
 
     A dimension measured to be small is broadcast and its columns take the key's place before anything moves: each task
     then sums into few groups (a year, not a day). For a larger one the facts are summed per key first, so that its
-    shuffle join moves sums, and a hot key is one row by then. Then the sums are summed.
+    shuffle join moves sums, and a hot key is one row by then. Then the sums are summed. ``shuffle`` takes all dimensions
+    for large.
     """
     rows, large, groups = require(fact, list(dims)), {}, list(by)
     for key, dim in dims.items():
-        if fits_broadcast(dim):
+        if not shuffle and fits_broadcast(dim):
             rows = rows.join(F.broadcast(dim), key)
             groups += [name for name in dim.columns if name != key]
         else:
@@ -36,7 +37,7 @@ def star_sums(
     if not large:
         return sums
     for key, dim in large.items():
-        sums = sums.join(dim, key)
+        sums = sums.join(dim.hint("merge"), key)
         groups += [name for name in dim.columns if name != key]
     return sums.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in first])
 

@@ -11,11 +11,13 @@ from civiclake.operators.lookups import fits_broadcast, join_back
 from civiclake.operators.rollups import mean_measure, share_of_parent, star_sums, top_k, top_k_per_group
 
 
-def complaint_by_year(requests: DataFrame, complaint: DataFrame, date: DataFrame) -> DataFrame:
+def complaint_by_year(
+    requests: DataFrame, complaint: DataFrame, date: DataFrame, shuffle: bool = False
+) -> DataFrame:
     """Requests and mean hours (of those that took any) per category, complaint type and year."""
     hours = F.when(F.col("resolution_hours") > 0, F.col("resolution_hours"))
     dims = {"complaint_key": complaint, "date_key": date.select("date_key", "year")}
-    return star_sums(requests, dims, measure=hours).select(
+    return star_sums(requests, dims, measure=hours, shuffle=shuffle).select(
         "category", "complaint_type", "year", F.col("row_count").alias("request_count"),
         mean_measure(1).alias("avg_resolution_hours"),
     )
@@ -33,20 +35,21 @@ def channel_by_borough(requests: DataFrame, silver: DataFrame, location: DataFra
     return _shares(star_sums(rows, {"location_key": places}, ["channel"]))
 
 
-def channel_by_borough_of(silver: DataFrame, location: DataFrame) -> DataFrame:
+def channel_by_borough_of(silver: DataFrame, location: DataFrame, shuffle: bool = False) -> DataFrame:
     """The same roll-up without a join of fact and silver, both as large as the data: silver's own area columns say
-    which location a request has."""
+    which location a request has. Each silver row counts; ``channel_by_borough`` takes one silver row per ``request_id``,
+    so the two differ where the contract's rule of unique ids is broken. ``shuffle`` takes the locations for a large table."""
     grain = ["borough", "incident_zip", "city"]
     rows = require(silver, ["request_id", "borough", "channel"])
     place = location.select(*[F.col(name).alias(f"_{name}") for name in grain])
     match = F.col("borough") == F.col("_borough")
     for name in grain[1:]:
         match = match & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    if fits_broadcast(place):
+    if not shuffle and fits_broadcast(place):
         known = rows.join(F.broadcast(place), match, "left_semi").withColumn("row_count", F.lit(1))
     else:
         per_place = rows.groupBy(*grain, "channel").agg(F.count(F.lit(1)).alias("row_count"))
-        known = per_place.join(place, match, "left_semi")
+        known = per_place.join(place.hint("merge"), match, "left_semi")
     return _shares(known.groupBy("borough", "channel").agg(F.sum("row_count").alias("row_count")))
 
 

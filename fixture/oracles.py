@@ -239,6 +239,11 @@ def all_oracles() -> dict[str, str]:
             "select r.request_id, r.location_key, s.channel from requests r join silver s using (request_id)",
             upto="requests"),
         "rollup_by_year": _with("select * from by_year", upto="by_year"),
+        "rollup_large_dims": _with("select * from by_year", upto="by_year"),
+        "channel_share_large_dims": _with("select * from by_borough", upto="by_borough"),
+        "ctas_rollup": _with("select category, complaint_type, year, request_count from by_year", upto="by_year"),
+        "ddl_then_insert": _with("select * from dates", upto="dates"),
+        "append_empty_refused": _with(f"select {raw_columns} from raw", upto="raw"),
         "channel_share": _with("select * from by_borough", upto="by_borough"),
         "channel_share_from_silver": _with("select * from by_borough", upto="by_borough"),
         "lines_share_of_mode": f"select l_suppkey, l_returnflag, line_count, {share} as pct_of_supplier from"

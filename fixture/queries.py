@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,11 @@ from civiclake.operators.rollups import first_rows, share_of_parent
 from civiclake.plans import bronze, checks, reports, run, silver, star
 from civiclake.plans.views import register_views
 from civiclake.rules import RAW_COLUMNS
-from civiclake.schemas import MESSAGE
+from civiclake.schemas import DATE, MESSAGE
 from civiclake.session import pin_settings, scratch_path
 from civiclake.sources.csv import read_csv_text, write_csv_text
 from civiclake.sources.messages import decode_inferred, decode_messages, encode_messages, matched_fields
-from civiclake.sources.tables import Store
+from civiclake.sources.tables import Store, create_tables
 from civiclake.streaming.ingest import append_available, stream_message_files
 from fixture.raw import (
     TEST_AGENCY_DEFAULT, TEST_AGENCY_TYPES, TEST_BOROUGH, TEST_BOROUGHS, TEST_CATEGORIES, TEST_CATEGORY_DEFAULT, raw,
@@ -296,6 +297,47 @@ def channel_share_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rollup_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first roll-up in the form for dimensions too large to broadcast."""
+    return reports.complaint_by_year(*_star(spark, sf_dir, "requests", "complaint", "date"), shuffle=True)
+
+
+def channel_share_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second roll-up in that form."""
+    return reports.channel_by_borough_of(*_star(spark, sf_dir, "request_cleaned", "location"), shuffle=True)
+
+
+def ctas_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A roll-up made a catalog table by an analyst's SQL."""
+    register_views(stored(spark, sf_dir), "gold_")
+    name = f"rollup_{uuid.uuid4().hex}"
+    spark.sql(f"""
+        create table {name} using parquet as select category, complaint_type, year, count(*) as request_count
+        from gold_requests join gold_complaint using (complaint_key) join gold_date using (date_key)
+        group by category, complaint_type, year
+    """)
+    return spark.table(name)
+
+
+def ddl_then_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar, inserted into a declared catalog table."""
+    database = f"gold_{uuid.uuid4().hex}"
+    create_tables(spark, database, {"date": DATE})
+    star.date(stored(spark, sf_dir).read("request_cleaned")).write.insertInto(f"{database}.date")
+    return spark.table(f"{database}.date")
+
+
+def append_empty_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after a load without rows, which is refused and changes nothing."""
+    store = Store(spark, scratch_path(spark, "refused"))
+    rows = bronze.append(raw(spark, sf_dir), store)
+    try:
+        bronze.append(rows.where(F.lit(False)), store)
+    except ValueError:
+        return bronze.rows(store)
+    raise AssertionError("a load without rows was taken")
+
+
 def lines_share_of_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of the parent's total on another table: lines by return flag within a supplier."""
     counts = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(
@@ -406,7 +448,7 @@ _ALL = [
     join_back_channel, rollup_by_year, channel_share, channel_share_from_silver, lines_share_of_mode, slowest_owners,
     count_by_area_year, top_types_in_area, top_types_per_area, sql_over_views, quality_report, null_violations,
     repeated_keys, broken_references, raw_key_violations, orders_without_creditor, fk_violation_counts,
-    full_build_counts,
+    full_build_counts, rollup_large_dims, channel_share_large_dims, ctas_rollup, ddl_then_insert, append_empty_refused,
 ]
 
 
