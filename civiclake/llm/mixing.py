@@ -63,7 +63,8 @@ def apportion(parties: DataFrame, group: str | None, party: str, share: str, sea
     moves no party further. So ranking takes 1.5 rows per party, whatever the number of seats.
     """
     keyed = parties.where(F.col(share) > 0).select(
-        (F.col(group) if group else F.lit(0)).alias("g"), F.col(party).alias("p"),
+        # without a group, one key for all; computed, so that the joins below stay joins on a key
+        (F.col(group) if group else F.col(party) * 0).alias("g"), F.col(party).alias("p"),
         F.col(share).cast("double").alias("s"), F.col(seats).alias("n"),
     )
     sums = keyed.groupBy("g").agg(F.sum("s").alias("all"), F.count("*").alias("parties"))
