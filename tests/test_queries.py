@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from conftest import plan_of
 from fixture.oracles import all_oracles
 from fixture.queries import all_queries
 
@@ -28,3 +29,12 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     result = entry.entry(spark)
     assert result.columns == ["complaint_type", "total"] and 0 < result.count() <= 10
+
+
+@pytest.mark.parametrize("name, broadcasts", [("rollup_large_dims", 0), ("channel_share_large_dims", 1), ("lookup_salted_join", 2)])
+def test_forms_for_large_dimensions_shuffle(spark, name, broadcasts):
+    """The plan that ran joins dimensions by sorting; only hot values (under 1000 rows) and totals per area are broadcast."""
+    result = entry.queries()[name](spark, FOLDER)
+    result.collect()
+    ran = plan_of(result).split("Initial Plan")[0]
+    assert "SortMergeJoin" in ran and ran.count("BroadcastHashJoin") + ran.count("BroadcastNestedLoopJoin") <= broadcasts
