@@ -15,18 +15,20 @@ HOT_SHARE = 1000  # a value is hot if it holds more than 1/1000 of the rows, so
 _NESTED = (ArrayType, MapType, StructType)
 
 
-def _as_text(field: StructField) -> Column:
-    return F.to_json(F.struct(field.name)) if isinstance(field.dataType, _NESTED) else F.col(field.name)
+def _octets(field: StructField) -> Column:
+    if isinstance(field.dataType, _NESTED):
+        return 2 * F.octet_length(F.to_json(F.struct(field.name)))
+    return F.octet_length(F.col(field.name))
 
 
 def data_bytes(df: DataFrame) -> int:
-    """Size of the rows in memory: eight bytes per column, and twice the text; nested values count as their JSON text.
+    """Size of the rows in memory: eight bytes per column, and the text; nested values count as twice their JSON text.
 
     One aggregation, one number to the driver.
     """
     fixed = F.lit(8 * (len(df.columns) + 1))
     texts = [
-        2 * F.coalesce(F.octet_length(_as_text(field)), F.lit(0))
+        F.coalesce(_octets(field), F.lit(0))
         for field in df.schema.fields if isinstance(field.dataType, (StringType, BinaryType, *_NESTED))
     ]
     total = df.select(F.sum(sum(texts, fixed).cast("bigint")).alias("bytes")).first()["bytes"]

@@ -152,6 +152,8 @@ def test_hot_values_are_bounded(spark):
 def test_data_bytes_grows_with_text(spark):
     small, large = spark.createDataFrame([("a",)], "t string"), spark.createDataFrame([("a" * 1000,)], "t string")
     assert data_bytes(large) - data_bytes(small) == 999
+    nested = spark.range(10).selectExpr("transform(sequence(1, 10000), k -> k / 7d) as a", "named_struct('b', cast('x' as binary)) as s")
+    assert data_bytes(nested) >= 10 * 10_000 * 8
     assert data_bytes(small.limit(0)) == 0
 
 
