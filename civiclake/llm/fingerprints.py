@@ -98,18 +98,21 @@ def with_next_lead(docs: DataFrame, id_column: str, text_column: str) -> DataFra
     # a document sends its lead to the one before it
     receivers = numbered.select(
         F.when(F.col("number") == count, 1).otherwise(F.col("number") + 1).alias("number"), F.col("key").alias("to_key"),
-        F.col("more").alias("to_more"), F.expr("n div 2").cast("int").alias("need"),
+        F.col("more").alias("to_more"), F.col("doc_id").alias("to_doc"), F.expr("n div 2").cast("int").alias("need"),
     )
     senders = numbered.select("number", F.col("key").alias("from_key"), F.col("more").alias("from_more"))
     sends = stored(senders.join(receivers, "number").drop("number"), "sends")
-    sent = keyed.drop("doc_id").join(
-        sends, (keyed["key"] == sends["from_key"]) & (keyed["more"] == sends["from_more"])
-    ).select("to_key", "to_more", F.substring("text", F.lit(1), F.col("need")).alias("lead"), "text")
+    # both sides of the second join have the same three columns of the texts, so that one shuffle of them serves both
+    texts = keyed.drop("doc_id")
+    sent = texts.join(
+        sends.hint("merge"), (texts["key"] == sends["from_key"]) & (texts["more"] == sends["from_more"])
+    ).select("to_key", "to_more", "to_doc", F.substring("text", F.lit(1), F.col("need")).alias("lead"), "text")
     sent = with_sketch(sent, "text", "next_sketch").drop("text")
     if copies and copies > 1:
         sent = sent.dropDuplicates(["to_key", "to_more"])
-    return keyed.join(sent, (keyed["key"] == sent["to_key"]) & (keyed["more"] == sent["to_more"])).select(
-        "doc_id", "text", "lead", "next_sketch"
+    sent = sent.hint("merge")
+    return texts.join(sent, (texts["key"] == sent["to_key"]) & (texts["more"] == sent["to_more"])).select(
+        F.col("to_doc").alias("doc_id"), "text", "lead", "next_sketch"
     )
 
 
