@@ -23,12 +23,14 @@ from civiclake.llm.common import stored
 ORDER = 4
 DISCOUNT = 0.75
 UNDETERMINED = "und"
-#: Labelled documents per language the models are fitted on, and as many again for the calibration. Which ones a hash says.
+#: Labelled documents of distinct texts per language that the models are fitted on. Which ones a hash says. All others calibrate.
 FIT_DOCUMENTS = 400
+#: Share of a language's calibration documents whose excess is within the one that the limit is made of.
+RECALL = 0.999
 #: Symbols of a text that are looked up at once; bounds memory on very long texts.
 BLOCK = 1 << 17
-#: A text is rejected where its cross-entropy exceeds its language's mean by more than MARGIN nats plus SLACK times the largest
-#: excess seen in calibration, which is measured times the root of the number of symbols and shrinks by it.
+#: A text is rejected where its cross-entropy exceeds its language's mean by more than MARGIN nats plus SLACK times the
+#: RECALL quantile of the excess seen in calibration, which is measured times the root of the number of symbols and shrinks by it.
 SLACK = 2.0
 MARGIN = 0.5
 
@@ -251,23 +253,24 @@ def fit(
 ) -> Models:
     """Models of all languages among the labelled documents that aren't held out.
 
-    Each language is fitted on up to ``documents`` whole texts, the first by a hash of their ids, and its rejection limit is
-    set on as many of the next. So the models' size has a bound per language, whatever the size of ``docs``. Rows whose text,
+    Each language is fitted on up to ``documents`` distinct whole texts, every other one by a hash of their ids, and its
+    rejection limit is set on all rows of other texts. So the models' size has a bound per language, whatever the size of
+    ``docs``, and the limit none. Rows whose text,
     label or id is null teach nothing. Without any label, there are no languages and every text is undetermined.
     """
     spark = docs.sparkSession
     eligible = docs.select(
         F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
     ).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    eligible = eligible.withColumn("key", F.xxhash64("text"))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "key")
     chosen = (
-        eligible.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= 2 * documents)
+        eligible.groupBy("lang", "key").agg(F.min("doc_id").alias("doc_id")).withColumn("place", F.row_number().over(first))
+        .where((F.col("place") <= 2 * documents) & (F.col("place") % 2 == 1)).drop("place")
     )
-    # bounded: 2 * documents rows per language
-    sample = stored(eligible.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "text", "lang", "place"), "lid")
-    sample = sample.repartition(spark.sparkContext.defaultParallelism)
-    fitted = sample.where(F.col("place") % 2 == 1).select("lang", "text")
+    chosen = stored(chosen, "lid")  # bounded: documents rows per language
+    fitted = eligible.join(F.broadcast(chosen), ["lang", "key", "doc_id"]).select("lang", "key", "text").distinct()
+    fitted = fitted.repartition(spark.sparkContext.defaultParallelism).select("lang", "text")
     counts = fitted.mapInArrow(_gram_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")
     )
@@ -289,16 +292,17 @@ def fit(
                 pa.schema([("lang", pa.string()), ("entropy", pa.float64()), ("n", pa.int64())]),
             )
 
-    seen = sample.where(F.col("place") % 2 == 0).select("text", "lang").mapInArrow(
-        entropies, "lang string, entropy double, n long"
-    ).toPandas()
+    others = eligible.join(F.broadcast(chosen.select("lang", "key")), ["lang", "key"], "left_anti").select("text", "lang")
+    seen = stored(others.mapInArrow(entropies, "lang string, entropy double, n long"), "lid_seen")
+    means = seen.groupBy("lang").agg((F.sum(F.col("entropy") * F.col("n")) / F.sum("n")).alias("mean"))
+    excess = ((F.col("entropy") - F.col("mean")) * F.sqrt("n"))
+    limits = seen.join(F.broadcast(means), "lang").groupBy("lang").agg(
+        F.first("mean").alias("mean"), F.percentile_approx(excess, RECALL, 10_000).alias("excess")
+    ).collect()
     models.mean, models.limit = np.zeros(len(models.languages)), np.full(len(models.languages), np.inf)
-    for k, language in enumerate(models.languages):
-        own = seen[seen["lang"] == language].sort_values(["n", "entropy"])
-        if len(own):
-            models.mean[k] = np.average(own["entropy"], weights=own["n"])
-            excess = ((own["entropy"] - models.mean[k]) * np.sqrt(own["n"])).max()
-            models.limit[k] = max(SLACK * excess, 0.0)
+    for row in limits:
+        k = models.languages.index(row["lang"])
+        models.mean[k], models.limit[k] = row["mean"], max(SLACK * row["excess"], 0.0)
     return models
 
 

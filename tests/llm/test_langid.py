@@ -112,3 +112,20 @@ def test_blocks_do_not_change_symbols(monkeypatch):
     whole = np.concatenate(list(langid.symbols(sample)))
     monkeypatch.setattr(langid, "BLOCK", 7)
     assert (np.concatenate(list(langid.symbols(sample))) == whole).all()
+
+
+def test_all_other_documents_calibrate(spark):
+    copies = [(k, text("aeinrst", 0), "one") for k in range(100)]
+    others = [(k, text("aeinrst" if k % 2 else "aeinrstbdghklmp", k), "one") for k in range(100, 300)]
+    docs = spark.createDataFrame(copies + others, "doc_id long, text string, lang string").repartition(3)
+    models = langid.fit(docs, documents=5)
+    eligible = [row for row in copies + others if crc32(str(row[0]).encode()) % 5]
+    found = [models.cross_entropy(row[1]) for row in eligible]
+    # copies are fitted on at most once and as a whole; of the others all but five are calibrated on
+    own = sorted((entropy[0] - models.mean[0]) * math.sqrt(n) for entropy, n in found)
+    assert models.limit[0] >= langid.SLACK * own[-6] * 0.999
+    assert sum(models.predict(row[1])[2] for row in eligible) == len(eligible)
+    totals = sum(entropy[0] * n for entropy, n in found) / sum(n for _, n in found)
+    without = [x for x, row in zip(found, eligible) if row[0] >= 100]
+    alone = sum(entropy[0] * n for entropy, n in without) / sum(n for _, n in without)
+    assert min(abs(models.mean[0] - totals), abs(models.mean[0] - alone)) < 0.05
