@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from civiclake.llm import (
-    bpe, fingerprints, langid, licenses, mixing, pieces, secrets, simhash, substrings, token_counts, topk,
+    bpe, divergence, fingerprints, langid, licenses, mixing, pieces, secrets, simhash, substrings, token_counts, topk,
 )
 from civiclake.llm.common import table
 
@@ -56,11 +56,15 @@ def op12_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) -
     return pieces.result(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.result(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = [
         op1_license_scans, op2_exact_top_k_search, op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing,
         op6_token_counts, op7_language_id, op8_document_fingerprints, op9_substring_dedup, op10_simhash_near_dedup,
-        op12_sentencepiece_encoding_and_decoding,
+        op12_sentencepiece_encoding_and_decoding, op13_source_divergence_audit,
     ]
     return {query.__name__: query for query in chosen}
 
@@ -68,4 +72,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def all_oracles() -> dict[str, str]:
     return {
         "op1_license_scans": licenses.oracle(), "op2_exact_top_k_search": topk.oracle(), "op5_mixing": mixing.oracle(),
+        "op13_source_divergence_audit": divergence.oracle(),
     }
