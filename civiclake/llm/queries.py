@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from civiclake.llm import (
-    bpe, divergence, fingerprints, langid, licenses, mixing, pieces, secrets, simhash, substrings, token_counts, topk,
+    alignment, bpe, divergence, fingerprints, langid, licenses, mixing, pieces, secrets, simhash, substrings, token_counts, topk,
 )
 from civiclake.llm.common import table
 
@@ -52,6 +52,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.result(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.result(table(spark, sf_dir, "documents"))
+
+
 def op12_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.result(table(spark, sf_dir, "documents"))
 
@@ -64,7 +68,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = [
         op1_license_scans, op2_exact_top_k_search, op3_secret_scans, op4_bpe_encoding_and_decoding, op5_mixing,
         op6_token_counts, op7_language_id, op8_document_fingerprints, op9_substring_dedup, op10_simhash_near_dedup,
-        op12_sentencepiece_encoding_and_decoding, op13_source_divergence_audit,
+        op11_cross_tokenizer_alignment, op12_sentencepiece_encoding_and_decoding, op13_source_divergence_audit,
     ]
     return {query.__name__: query for query in chosen}
 

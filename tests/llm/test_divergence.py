@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from civiclake.llm import divergence
@@ -64,9 +66,7 @@ def test_equals_brute_force(spark, least, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
     expected = brute_force([(lang, source, text) for _, text, lang, source in rows], least)
     assert found(divergence.audit(docs, least=least)) == expected
-    # small blocks everywhere
-    monkeypatch.setattr(divergence, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(divergence, "CELLS", 9)
+    monkeypatch.setattr(divergence, "BLOCK_ROWS", 7)  # many blocks
     assert found(divergence.audit(docs, least=least)) == expected
 
 
@@ -83,15 +83,29 @@ def test_other_column_names(spark):
     assert found(divergence.audit(docs, "tongue", "origin", "body", least=1)) == expected
 
 
-def test_blocks_merge_to_the_same_counts(spark, monkeypatch):
-    rows = [(text, lang, source) for _, text, lang, source in documents()]
-    docs = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
-    expected = found(divergence.kept_terms(docs, least=1))
-    code = divergence._counted
-    monkeypatch.setitem(code.__globals__, "TEXT_BYTES", 50)
-    monkeypatch.setitem(code.__globals__, "MERGED_ROWS", 20)
-    assert sum(row[3] for row in expected) == sum(len(terms(text)) for text, _, _ in rows)
-    assert found(divergence.kept_terms(docs, least=1)) == expected
+def test_blocks_merge_to_the_same_counts(monkeypatch):
+    rows = [(lang or "", source or "", text or "") for _, text, lang, source in documents()]
+    expected = Counter((lang, source, term) for lang, source, text in rows for term in terms(text))
+    columns = {name: [row[k].encode() for row in rows] for k, name in enumerate(("lang", "source", "text"))}
+    batches = pa.Table.from_pydict(columns, pa.schema([(name, pa.binary()) for name in columns])).to_batches(max_chunksize=37)
+    for text_bytes, merged_rows in (1 << 22, 1 << 20), (50, 20), (1, 1):
+        monkeypatch.setattr(divergence, "TEXT_BYTES", text_bytes)
+        monkeypatch.setattr(divergence, "MERGED_ROWS", merged_rows)
+        found = Counter()
+        for batch in divergence._counted(iter(batches)):
+            for lang, source, term, n in zip(*(batch.column(name).to_pylist() for name in ("lang", "source", "term", "n"))):
+                found[lang.decode(), source.decode(), term.decode()] += n
+        assert found == expected
+
+
+def test_small_dense_parts_give_the_same_sums(monkeypatch):
+    rng = random.Random(1)
+    groups = pd.DataFrame({"lang": "x", "block": 0, "source": list("abcde"), "none": [3, 1, 4, 1, 5]})
+    rows = pd.DataFrame([("x", 0, s, f"t{k}", rng.randrange(100)) for k in range(40) for s in "abcd" if rng.random() < 0.6],
+                        columns=["lang", "block", "source", "term", "p"])
+    whole = divergence._block_sums(rows, groups)
+    monkeypatch.setattr(divergence, "CELLS", 9)
+    assert divergence._block_sums(rows, groups).equals(whole)
 
 
 def test_radix_order_is_the_bytes_order():
