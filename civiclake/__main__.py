@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from civiclake.plans import bronze, checks, run
+from civiclake.plans import bronze, checks, incremental, run
 from civiclake.plans.views import register_views
 from civiclake.rules import RAW_COLUMNS
 from civiclake.schemas import MESSAGE
@@ -18,7 +18,7 @@ from civiclake.sources.messages import (
 from civiclake.sources.tables import Store
 from civiclake.streaming.ingest import stream_message_files
 
-STEPS = ["publish", "ingest", "bronze", "silver", "star", "rollups", "check", "all", "sql", "export"]
+STEPS = ["publish", "ingest", "merge", "bronze", "silver", "star", "rollups", "check", "all", "sql", "export"]
 
 
 def _options() -> argparse.ArgumentParser:
@@ -74,6 +74,15 @@ def ingest(store: Store, given) -> None:
     bronze.append_new(stream, store, _fields(store.spark, given))
 
 
+def merge(store: Store, given) -> None:
+    """Silver and the roll-ups' sums, from the messages since the last run alone."""
+    if given.kafka:
+        stream = stream_kafka(store.spark, given.kafka, given.topic, **_pairs(given.kafka_option))
+    else:
+        stream = stream_message_files(store.spark, given.messages)
+    incremental.follow(stream, store, _fields(store.spark, given))
+
+
 def load(store: Store, given) -> None:
     spark = store.spark
     if given.kafka:
@@ -106,6 +115,8 @@ def main(arguments: list[str], spark=None) -> int:
         publish(spark, given)
     if given.step == "ingest":
         ingest(store, given)
+    if given.step == "merge":
+        merge(store, given)
     if given.step in ("bronze", "all"):
         load(store, given)
     if given.step in ("silver", "all"):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civiclake.functions.labels import all_true
 from civiclake.session import scratch_path
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number within it below
@@ -34,3 +35,18 @@ def surrogate_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
         .join(F.broadcast(starts), "_part")
         .select((F.col("_start") + row + 1).alias(name), *df.columns)
     )
+
+
+def continued_key(known: DataFrame, rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """``known`` with every combination of ``columns`` in ``rows`` that it lacks (NULL counts as a value), numbered on.
+
+    Numbers already given stay, whatever ``rows`` holds now; new combinations follow the largest one, dense and in sort order
+    among themselves. Without known numbers this is ``surrogate_key`` of the combinations. Other columns of ``known`` stay, and
+    are NULL in new rows. One number comes to the driver.
+    """
+    held = known.select(*[F.col(column).alias(f"_held_{column}") for column in columns])
+    same = all_true([F.col(column).eqNullSafe(F.col(f"_held_{column}")) for column in columns])
+    new = rows.select(*columns).distinct().join(held, same, "left_anti")
+    last = known.agg(F.max(name).alias("last")).first()["last"] or 0
+    numbered = surrogate_key(new, name, columns).withColumn(name, F.col(name) + last)
+    return known.unionByName(numbered, allowMissingColumns=True)

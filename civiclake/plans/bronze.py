@@ -29,12 +29,13 @@ def load(spark, source: str, **options) -> DataFrame:
 
 
 def append(raw: DataFrame, store: Store) -> DataFrame:
-    """Append raw rows to the bronze table. No rows at all is an error; they are counted while they are written."""
-    written = Observation()
-    table = store.write(raw.observe(written, F.count(F.lit(1)).alias("rows")), BATCH, "append")
+    """Append raw rows to the bronze table. No rows at all is an error; they are counted while they are written, and what was
+    written counts only after that."""
+    written, draft = Observation(), store.draft()
+    draft.write(raw.observe(written, F.count(F.lit(1)).alias("rows")), BATCH, "append")
     if written.get["rows"] == 0:
         raise ValueError("the source has no rows")
-    return table
+    return draft.publish().read(BATCH)
 
 
 def append_new(messages: DataFrame, store: Store, fields: dict[str, str] | None = None) -> DataFrame:

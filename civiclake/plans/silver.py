@@ -54,6 +54,26 @@ def clean_rows(bronze: DataFrame) -> DataFrame:
     return valid_interval(cleaned, "created_date", "closed_date")
 
 
+#: What makes a row of a key the first: valid before invalid, then the times, then the raw texts.
+ORDER, TIES = ["_invalid", *_TIMES], _USED[1:]
+
+
+def candidates(bronze: DataFrame) -> DataFrame:
+    """Rows with a key and a date, the raw texts that silver uses, and whether they are invalid; times are parsed, once."""
+    timed = project(require(bronze, [KEY, "created_date"]), {
+        **{name: F.col(name) for name in _USED}, **time_spec()
+    })
+    return timed.withColumn("_invalid", ~is_valid_interval(*_TIMES))
+
+
+def cleaned(first: DataFrame) -> DataFrame:
+    """Silver rows of the first row per key; a key without a valid row goes. Further columns of ``first`` stay in front."""
+    spec = {**{name: F.col(name) for name in _TIMES}, **text_spec()}
+    others = [name for name in first.columns if name not in [*_USED, *_TIMES, "_invalid"]]
+    chosen = {**{name: F.col(name) for name in others}, **{name: spec[name] for name in SILVER.names}}
+    return project(first.where(~F.col("_invalid")), chosen)
+
+
 def silver(bronze: DataFrame) -> DataFrame:
     """The earliest valid row of every unique key, cleaned. The raw texts break ties, so the result is always the same.
 
@@ -61,10 +81,4 @@ def silver(bronze: DataFrame) -> DataFrame:
     every valid one of its key, so it is first only where no valid row exists, and then the key is dropped: a filter in
     front would parse the times a second time.
     """
-    timed = project(require(bronze, [KEY, "created_date"]), {
-        **{name: F.col(name) for name in _USED}, **time_spec()
-    })
-    flagged = timed.withColumn("_invalid", ~is_valid_interval(*_TIMES))
-    first = keep_first(flagged, [KEY], ["_invalid", *_TIMES], _USED[1:]).where(~F.col("_invalid"))
-    cleaned = {**{name: F.col(name) for name in _TIMES}, **text_spec()}
-    return project(first, {name: cleaned[name] for name in SILVER.names})
+    return cleaned(keep_first(candidates(bronze), [KEY], ORDER, TIES))

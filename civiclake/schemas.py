@@ -33,6 +33,17 @@ SILVER = _table(
     complaint_type="string", descriptor="string", borough="string", city="string", incident_zip="string",
     incident_address="string", status="string", channel="string", latitude="double", longitude="double",
 )
+#: The raw texts and times of the first row of each key, from which silver is made; kept to compare later rows with.
+FIRST = _table(
+    unique_key="string", agency="string", agency_name="string", problem="string", problem_detail="string", borough="string",
+    city="string", incident_zip="string", incident_address="string", status="string", open_data_channel_type="string",
+    latitude="string", longitude="string", created_date="time", closed_date="time", _invalid="boolean",
+)
+#: What a batch adds to (or, below zero, takes from) the counts behind the two roll-ups.
+YEAR_CHANGES = _table(
+    complaint_type="string", year="int", row_count="bigint", measure_count="bigint", measure_sum="bigint"
+)
+CHANNEL_CHANGES = _table(borough="string", channel="string", row_count="bigint")
 DATE = _table(
     date_key="int", full_date="date", year="int", month="int", quarter="int", day_of_week="string",
     is_weekend="boolean", season="string",
@@ -58,7 +69,10 @@ CHANNEL_BY_BOROUGH = _table(borough="string", channel="string", request_count="b
 TABLES = {
     "request_raw": BRONZE,
     "request_raw_stream": BRONZE,
+    "request_first": FIRST,
     "request_cleaned": SILVER,
+    "changes_by_year": YEAR_CHANGES,
+    "changes_by_channel": CHANNEL_CHANGES,
     "date": DATE,
     "agency": AGENCY,
     "location": LOCATION,

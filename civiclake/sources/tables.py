@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,30 +13,62 @@ from pyspark.sql.types import StructType
 from civiclake.functions.labels import all_true
 from civiclake.operators.dedupe import keep_first
 from civiclake.schemas import TABLES
+from civiclake.sources import manifest
 
 
 @dataclass(frozen=True)
 class Store:
-    """Tables as folders of Parquet files below ``root``, which all executors must see."""
+    """Named tables as Parquet files below ``root``, which all executors must see.
+
+    A table is a list of folders, its parts. No folder is ever written twice: a write makes a new one, and a manifest, one small
+    file that appears as a whole, says which folders count from then on. So a reader sees all of a write or nothing of it, and a
+    write that dies leaves the tables as they were. A store without ``parts`` follows the newest manifest at every read; ``pinned``
+    gives one that stays with what it has seen. One writer at a time; a writer that was overtaken is refused. Folders that no
+    manifest names any more stay; give them an expiry longer than any reader's work.
+    """
 
     spark: SparkSession
     root: str
+    parts: dict[str, dict[str, str]] | None = None
 
     def path(self, table: str) -> str:
+        """The folder of a table that has no manifest, such as one a stream keeps its own log in."""
         return f"{self.root.rstrip('/')}/{table}"
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> DataFrame:
-        """Write the table and return it as a scan of what was written, so later steps do not work it out again."""
-        df.write.mode(mode).parquet(self.path(table))
-        return self.read(table)
+    def tables(self) -> dict[str, dict[str, str]]:
+        """Of each table in the manifest: its parts' names and folders."""
+        return manifest.newest(self.spark, self.root)[1] if self.parts is None else self.parts
 
-    def read(self, table: str) -> DataFrame:
-        reader = self.spark.read
-        if table in TABLES:
-            reader = reader.schema(TABLES[table])
-        return reader.parquet(self.path(table))
+    def pinned(self) -> Store:
+        return Store(self.spark, self.root, self.tables())
+
+    def draft(self) -> Draft:
+        """A store to write several tables in; others see them when ``publish`` is called, all at once."""
+        version, parts = manifest.newest(self.spark, self.root)
+        return Draft(self.spark, self.root, {name: dict(folders) for name, folders in parts.items()}, version)
+
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> DataFrame:
+        """Write the table, or append to it, and return it as a scan of what was written, so later steps do not work it out again."""
+        draft = self.draft()
+        draft.write(df, table, mode)
+        return draft.publish().read(table)
+
+    def read(self, table: str, only: list[str] | None = None) -> DataFrame:
+        """The table, or the parts of it named in ``only``, as far as it has them."""
+        reader, schema = self.spark.read, TABLES.get(table)
+        if schema:
+            reader = reader.schema(schema)
+        folders = self.tables().get(table)
+        if folders is None:
+            return reader.parquet(self.path(table))
+        chosen = [folder for part, folder in folders.items() if only is None or part in only]
+        if not chosen:
+            return self.spark.createDataFrame([], schema)
+        return reader.parquet(*[self.path(folder) for folder in chosen])
 
     def exists(self, table: str) -> bool:
+        if table in self.tables():
+            return True
         try:
             self.spark.read.text(self.path(table))
         except AnalysisException as error:
@@ -58,6 +91,57 @@ class Store:
         return self.write(new, table, "append")
 
 
+@dataclass(frozen=True)
+class Draft(Store):
+    """The tables of the next manifest. It reads what it has written itself, and the rest as it was when it began."""
+
+    version: int = 0
+    changed: set[str] = field(default_factory=set)
+
+    def folder(self, table: str) -> str:
+        return f"data/{table}/{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite", part: str | None = None) -> DataFrame:
+        """A new folder of the table, as its only part or (``append``) one more, named ``part`` or like the folder."""
+        folder = self.folder(table)
+        df.write.parquet(self.path(folder))
+        held = self.parts.get(table, {}) if mode == "append" else {}
+        self.parts[table] = {**held, part or folder: folder}
+        self.changed.add(table)
+        return self.read(table)
+
+    def replace_parts(self, df: DataFrame, table: str, by: str, parts: list[str]) -> DataFrame:
+        """Rows of the named parts, the values of column ``by``, in place of what these parts held; returns those parts."""
+        folder = self.folder(table)
+        df.write.partitionBy(by).parquet(self.path(folder))
+        marker = f"{folder}/{by}="
+        files = self.spark.read.schema(df.schema).parquet(self.path(folder)).inputFiles()
+        written = {file.rsplit(marker, 1)[1].split("/")[0] for file in files if marker in file}
+        held = {part: place for part, place in self.parts.get(table, {}).items() if part not in parts}
+        self.parts[table] = {**held, **{part: f"{marker}{part}" for part in written}}
+        self.changed.add(table)
+        return self.read(table, list(written))
+
+    def mark(self, table: str, part: str) -> None:
+        """A part without rows, such as a batch that has been taken over."""
+        self.parts.setdefault(table, {})[part] = ""
+        self.changed.add(table)
+
+    def publish(self) -> Store:
+        """Switch all readers to what was written here. Refused if another writer has changed one of the same tables since."""
+        version, current = manifest.newest(self.spark, self.root)
+        if version != self.version:
+            before = manifest.at(self.spark, self.root, self.version)
+            lost = sorted(name for name in self.changed if current.get(name) != before.get(name))
+            if lost:
+                raise RuntimeError(f"another writer has changed {lost}")
+            current.update({name: self.parts[name] for name in self.changed})
+        else:
+            current = self.parts
+        manifest.write(self.spark, self.root, version + 1, current)
+        return Store(self.spark, self.root, current)
+
+
 def create_tables(spark: SparkSession, database: str, tables: dict[str, StructType] | None = None) -> None:
     """The declared tables, empty, where the catalog does not have them yet."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")

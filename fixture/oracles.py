@@ -286,9 +286,32 @@ def all_oracles() -> dict[str, str]:
                                " union all select 'l_suppkey', count(*) from lineitem"
                                " where l_suppkey not in (select s_suppkey from supplier where s_acctbal > 0)",
         "full_build_counts": _with(_counts(), upto="by_borough"),
+        "silver_incremental": _with("select * from silver", upto="silver"),
+        "rollup_incremental": _with("select * from by_year", upto="by_year"),
+        "channel_incremental": _with("select * from by_borough", upto="by_borough"),
+        "surrogate_key_continued": """with pairs as (select l_partkey, l_suppkey, bool_or(l_returnflag = 'A') as early
+ from lineitem group by all) select row_number() over (order by not early, l_partkey, l_suppkey) as line_key, l_partkey,
+ l_suppkey from pairs""",
+        "build_switch": _switch(),
     }
 
 
+def _switch() -> str:
+    """Rows per table at four moments: closed requests for all but the third, which has all."""
+    names = {
+        "request_cleaned": "silver", "date": "dates", "agency": "agency", "location": "location", "complaint": "complaint",
+        "status": "status", "requests": "requests", "aggregation_complaint_by_year": "by_year",
+        "aggregation_channel_by_borough": "by_borough",
+    }
+    counts = " union all ".join(f"select '{name}' as table_name, count(*) as row_count from {source}" for name, source in names.items())
+    whole = _with(counts, upto="by_borough")
+    closed = whole.replace(f"raw as ({RAW_SQL})", f"raw as (select * from ({RAW_SQL}) where status = 'Closed')")
+    return " union all ".join(
+        f"select '{moment}' as moment, table_name, row_count from ({sql})"
+        for moment, sql in (("closed", closed), ("stopped", closed), ("all", whole), ("pinned", closed))
+    )
+
+
 _PLACES = """select request_id, s.borough, s.incident_zip, s.city, location_key from silver s left join location l
  on s.borough = l.borough and s.incident_zip is not distinct from l.incident_zip
  and s.city is not distinct from l.city"""

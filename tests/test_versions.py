@@ -1,0 +1,146 @@
+"""Tables that are switched at once, and layers brought up to date with new rows alone."""
+
+import pytest
+from conftest import plan_of, request, values
+from pyspark.sql import functions as F
+
+from civiclake.operators.numbering import continued_key
+from civiclake.plans import incremental, reports, run, silver
+from civiclake.plans.silver import clean_rows
+from civiclake.rules import RAW_COLUMNS
+from civiclake.schemas import MESSAGE
+from civiclake.sources.messages import decode_messages
+from civiclake.sources.tables import Draft, Store
+
+TABLES = ["request_cleaned", "date", "agency", "location", "complaint", "status", "requests", "aggregation_complaint_by_year",
+          "aggregation_channel_by_borough"]
+
+
+def contents(store):
+    return {name: values(store.read(name)) for name in TABLES}
+
+
+@pytest.mark.parametrize("last", ["request_cleaned", "complaint", "requests", "aggregation_channel_by_borough"])
+def test_a_build_that_dies_leaves_the_former_tables(spark, bronze_rows, tmp_path, monkeypatch, last):
+    store = Store(spark, str(tmp_path))
+    run.build(store, bronze_rows(request("1"), request("2", borough="bronx")))
+    before = contents(store.pinned())
+    write = Draft.write
+
+    def dies(draft, df, table, *rest, **more):
+        result = write(draft, df, table, *rest, **more)
+        if table == last:
+            raise OSError("the driver is gone")
+        return result
+
+    monkeypatch.setattr(Draft, "write", dies)
+    with pytest.raises(OSError):
+        run.build(store, bronze_rows(request("3", agency="dot", problem="Water", city="x", status="Closed", created="02/02/2016 01:00:00 AM")))
+    assert contents(store.pinned()) == before
+
+
+def test_readers_keep_what_they_pinned_and_writers_notice_each_other(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    one, two = spark.range(1), spark.range(2)
+    store.write(one, "a")
+    reader, slow = store.pinned(), store.draft()
+    store.write(two, "a")
+    store.write(one, "b")
+    assert [reader.read("a").count(), store.read("a").count()] == [1, 2] and "b" not in reader.tables()
+    slow.write(one, "c")
+    assert sorted(slow.publish().tables()) == ["a", "b", "c"] and store.read("a").count() == 2
+    late = store.draft()
+    late.write(one, "a")
+    store.write(two, "a", "append")
+    with pytest.raises(RuntimeError, match="another writer"):
+        late.publish()
+    assert store.read("a").count() == 4
+
+
+def test_an_unfinished_manifest_does_not_count(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.write(spark.range(3), "a")
+    (tmp_path / "manifest/version=2/_temporary/0").mkdir(parents=True)
+    assert store.read("a").count() == 3
+    store.write(spark.range(4), "a")
+    assert store.read("a").count() == 4
+
+
+def batches():
+    """Rows of one key in any order, invalid ones, equal ones, keys that are no numbers, and corrections of roll-ups."""
+    return [
+        [request("1", "01/05/2015 01:00:00 AM", "01/05/2015 03:00:00 AM"), request("2"), request("x", borough="bronx"), request(None)],
+        [request("1", "01/03/2014 01:00:00 AM", "01/03/2014 02:00:00 AM", problem="Water", borough="bronx"),
+         request("3", "01/03/2014 01:00:00 AM", "01/02/2014 02:00:00 AM"), request("2"), request("7000", problem="Water")],
+        [request("3"), request("1", "01/06/2016 01:00:00 AM"), request("x", "01/01/2013 01:00:00 AM", borough="Unspecified"),
+         request("2", "bad", None), request("9", "bad", "01/01/2013 01:00:00 AM"), request("7000", created=None)],
+    ]
+
+
+def test_merged_batches_equal_one_build(spark, bronze_rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "MOST_PARTS", 2)
+    store, rows = Store(spark, str(tmp_path / "merged")), []
+    for k, batch in enumerate(batches()):
+        rows += batch
+        assert incremental.merge(store, bronze_rows(*batch), f"b{k}", width=1000)
+        whole = Store(spark, str(tmp_path / f"whole{k}"))
+        built = run.build(whole, bronze_rows(*rows))
+        assert values(store.read("request_cleaned")) == values(built["request_cleaned"])
+        assert values(incremental.complaint_by_year(store)) == values(built["aggregation_complaint_by_year"])
+        assert values(incremental.channel_by_borough(store)) == values(built["aggregation_channel_by_borough"])
+    before = store.tables()
+    assert not incremental.merge(store, bronze_rows(*batches()[1]), "b1", width=1000)
+    assert store.tables() == before
+
+
+def test_only_touched_buckets_are_written(spark, bronze_rows, tmp_path):
+    store = Store(spark, str(tmp_path))
+    incremental.merge(store, bronze_rows(request("1"), request("2500"), request("abc")), "b0", width=1000)
+    first = store.tables()
+    incremental.merge(store, bronze_rows(request("2600"), request("5000")), "b1", width=1000)
+    second = store.tables()
+    for table in ("request_first", "request_cleaned"):
+        changed = {part for part, folder in second[table].items() if first[table].get(part) != folder}
+        assert changed == {"2", "5"} and len(second[table]) == 4
+
+
+def test_a_merge_that_dies_changes_nothing(spark, bronze_rows, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    incremental.merge(store, bronze_rows(request("1")), "b0")
+    before = store.tables()
+    monkeypatch.setattr(Draft, "mark", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        incremental.merge(store, bronze_rows(request("1", "01/01/2010 01:00:00 AM")), "b1")
+    assert store.tables() == before
+    monkeypatch.undo()
+    assert incremental.merge(store, bronze_rows(request("1", "01/01/2010 01:00:00 AM")), "b1")
+    assert store.read("request_cleaned").count() == 1
+
+
+def test_numbers_once_given_stay(spark):
+    schema = "code string, name string"
+    first = spark.createDataFrame([("b", None), ("d", "x")], schema)
+    none = spark.createDataFrame([], f"k bigint, {schema}, kind string")
+    known = continued_key(none, first, "k", ["code", "name"])
+    assert values(known, "k", "code", "name") == [(1, "b", None), (2, "d", "x")]
+    more = spark.createDataFrame([("a", "x"), ("b", None), ("c", None), ("c", None), (None, None)], schema)
+    again = continued_key(known, more, "k", ["code", "name"])
+    assert values(again, "k", "code", "name") == [(1, "b", None), (2, "d", "x"), (3, None, None), (4, "a", "x"), (5, "c", None)]
+    assert values(continued_key(again, more, "k", ["code", "name"])) == values(again)
+
+
+def test_messages_are_parsed_once(spark):
+    messages = spark.createDataFrame([("1", "{}")], MESSAGE)
+    plan = plan_of(clean_rows(decode_messages(messages, RAW_COLUMNS)))
+    assert plan.count("from_json") == 1
+    assert plan_of(silver.silver(decode_messages(messages, RAW_COLUMNS))).count("from_json") == 1
+
+
+def test_report_over_merged_silver(spark, bronze_rows, tmp_path):
+    """A star can be built over silver that was merged."""
+    store = Store(spark, str(tmp_path))
+    for k, batch in enumerate(batches()):
+        incremental.merge(store, bronze_rows(*batch), f"b{k}", width=1000)
+    star = run.build_star(store)
+    counted = reports.count_by_borough_year(star["requests"], star["location"], star["date"])
+    assert counted.agg(F.sum("request_count")).first()[0] > 0
