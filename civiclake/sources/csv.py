@@ -1,157 +1,262 @@
 """All-text CSV with a header, doubled quotes, and line breaks inside quotes.
 
 Every file is split, line breaks inside quotes or not, and one rule says what a record is, whatever the size of a file or of its
-parts. Only ``\\n`` ends a line. At a line's start a reader is outside or inside quotes, so a line is a function of two states;
-functions compose, first over a part's lines and then over a file's parts, and every line learns how it starts. A record is a line
-that starts outside quotes and isn't empty, with those after it that start inside.
+parts. Only ``\\n`` ends a line. At a line's start a reader is outside or inside quotes. A first pass reads each part both ways
+and gives one small row for it: in which state it ends for either start, and the pieces of records that cross its borders. From
+these rows every part learns how it starts, and the records across borders are put together; no other line is moved. The pass that
+returns rows then cuts each part into records where it is scanned. A record is a line that starts outside quotes and isn't empty,
+with those after it that start inside.
 """
 
 from __future__ import annotations
 
 import csv
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from civiclake.session import scratch_path
+
 _FORMAT = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
-_PART = ["file", "part"]
-
-# Places of a reader within a line, and where a quote, a comma or other text leads from each. A quote opens a quoted field only at
-# the field's start; after a closing quote, text up to the next comma belongs to the field.
-_START, _PLAIN, _QUOTED, _CLOSING, _AFTER = range(5)
-_STEPS = [
-    (_QUOTED, _START, _PLAIN), (_PLAIN, _START, _PLAIN), (_CLOSING, _QUOTED, _QUOTED), (_QUOTED, _START, _AFTER),
-    (_AFTER, _START, _AFTER),
-]
-
-
-def _ends(line: Column) -> Column:
-    """Whether a line ends inside quotes: 2 if it does when it starts outside, plus 1 if it does when it starts inside."""
-    # both starts at once: place from outside * 5 + place from inside
-    steps = F.array(*(
-        F.lit(5 * _STEPS[one][token] + _STEPS[other][token]) for one in range(5) for other in range(5) for token in range(3)
-    ))
-    short = F.translate(F.regexp_replace(line, '[^",]+', "x"), '",x', "012")
-    tokens = F.filter(F.split(short, ""), lambda token: token != "")
-    places = F.aggregate(
-        tokens, F.lit(5 * _START + _QUOTED), lambda at, token: F.get(steps, at * 3 + F.ascii(token) - F.lit(ord("0")))
-    )
-    outside, inside = F.floor(places / 5) == _QUOTED, places % 5 == _QUOTED
-    ends = F.when(outside, 2).otherwise(0) + F.when(inside, 1).otherwise(0)
-    return F.when(line.contains('"'), ends).otherwise(1).cast("int")  # without quotes nothing changes
+#: Characters of a piece of a record that a first pass keeps while it does not know how its part starts, and of any record.
+BORDER, MOST = 1 << 20, 1 << 27
 
+# A quote opens a quoted field only at the field's start, a doubled one is text; after the closing quote, text up to the next comma
+# belongs to the field. A line that is no list of whole fields ends inside quotes.
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"(?:[^",][^,]*+)?+|(?:[^",][^,]*+)?+)'
+_WHOLE = re.compile(f"{_FIELD}(?:,{_FIELD})*+", re.DOTALL)
 
-def _with_states(rows: DataFrame, order: Window, ends: str) -> DataFrame:
-    """Adds ``from_outside`` and ``from_inside``, the state (0 outside, 1 inside) before each row by how the window starts.
 
-    A row sets the state (``ends`` 0 or 3), keeps it (1) or turns it (2). So the last row that set it counts, and the turns since.
-    """
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    turn = F.when(F.col(ends) == 2, 1).otherwise(0)
-    turned = rows.withColumn("_turns", F.sum(turn).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    setting = F.when(F.col(ends).isin(0, 3), F.struct(F.when(F.col(ends) == 3, 1).otherwise(0).alias("state"), "_turns"))
-    known = turned.withColumns({
-        "_set": F.last(setting, ignorenulls=True).over(before), "_before": F.coalesce(F.col("_turns") - turn, F.lit(0)),
-    })
+def _ends_inside(line: str, inside: bool) -> bool:
+    return _WHOLE.fullmatch('"' + line if inside else line) is None
 
-    def state(start: int) -> Column:
-        return F.when(F.col("_set").isNull(), (F.lit(start) + F.col("_before")) % 2).otherwise(
-            (F.col("_set.state") + F.col("_before") - F.col("_set._turns")) % 2
-        ).cast("int")
 
-    return known.withColumns({"from_outside": state(0), "from_inside": state(1)}).drop("_turns", "_set", "_before")
+def _is_record(line: str) -> bool:
+    return line not in ("", "\r")
 
 
-def _after(state: str, ends: str = "ends") -> Column:
-    """The state after a row, from the state before it."""
-    return F.when(F.col(state) == 0, F.when(F.col(ends) >= 2, 1).otherwise(0)).otherwise(F.col(ends) % 2).cast("int")
+class _Reader:
+    """Reads a part's lines from one state: its records, and what of a record lies across its borders."""
 
+    def __init__(self, inside: bool, limit: int, where: str):
+        self.inside, self.limit, self.where = inside, limit, where
+        self.tail: str | None = None  # of a record that began before the part
+        self.open: list[str] | None = [] if inside else None  # of a record that is not over; None if there is none
+        self.size, self.lost, self.at_start = 0, False, inside
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All lines with their file, part (where the part starts) and place (ascending within a part)."""
-    text = spark.read.option("lineSep", "\n").text(path)
-    return text.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"),
-        F.monotonically_increasing_id().alias("place"), "value", _ends(F.col("value")).alias("ends"),
-    )
+    def _keep(self, lines: list[str]) -> None:
+        self.size += sum(map(len, lines)) + len(lines)
+        if self.size > self.limit:
+            if self.limit == MOST:
+                raise ValueError(f"{self.where}: a quote opens a record of over {MOST} characters")
+            self.lost, self.open = True, []
+        if not self.lost:
+            self.open += lines
 
+    def plain(self, lines: list[str]) -> list[str]:
+        """Lines without a quote, which change no state; returns the records among them."""
+        if self.inside:
+            self._keep(lines)
+            return []
+        return [line for line in lines if _is_record(line)]
 
-def _parts(lines: DataFrame) -> DataFrame:
-    """One row per part of a file: the state it starts in, the part where the record open at its start began (``origin``), and
-    whether it ends inside a record. Only lines that change a state are sorted, without their text."""
-    last = lines.groupBy(*_PART).agg(F.max("place").alias("last"))
-    changes = lines.where("ends <> 1").select(*_PART, "place", "ends")
-    stated = _with_states(changes, Window.partitionBy(*_PART).orderBy("place"), "ends").select(
-        *_PART, "place", _after("from_outside").alias("outside"), _after("from_inside").alias("inside")
-    )
-    ends = stated.groupBy(*_PART).agg(
-        F.max(F.struct("place", "outside", "inside")).alias("end"), F.min(F.when(F.col("inside") == 0, F.col("place"))).alias("left")
-    )
-    whole = last.join(ends, _PART, "left").select(
-        *_PART, (2 * F.coalesce("end.outside", F.lit(0)) + F.coalesce("end.inside", F.lit(1))).cast("int").alias("ends"),
-        F.coalesce(F.col("left") < F.col("last"), F.lit(False)).alias("leaves"),
-    )
-    in_file = Window.partitionBy("file").orderBy("part")
-    known = _with_states(whole, in_file, "ends")
-    begins = (F.col("from_outside") == 0) | F.col("leaves")
-    origin = F.last(F.when(begins, F.col("part")), ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
-    return known.select(
-        *_PART, F.col("from_outside").alias("start"), origin.alias("origin"), (_after("from_outside") == 1).alias("stays_open")
+    def quoted(self, line: str) -> str | None:
+        """A line with quotes; returns the record that it ends."""
+        before, self.inside = self.inside, _ends_inside(line, self.inside)
+        if not before and not self.inside:
+            return line
+        if not before:
+            self.open, self.size, self.lost = [], 0, False
+        self._keep([line])
+        if self.inside:
+            return None
+        record = None if self.lost else "\n".join(self.open)
+        self.open = None
+        if self.at_start:
+            self.at_start, self.tail, self.tail_lost = False, record, self.lost
+            return None
+        return record
+
+    def border(self) -> tuple:
+        """Whether it ends inside; the tail, and whether the record ends there; the text that stays open; whether text is missing."""
+        text = "\n".join(self.open) if self.open is not None and not self.lost else None
+        if self.at_start:
+            return self.inside, text, False, None, self.lost
+        tail_lost = getattr(self, "tail_lost", False)
+        return self.inside, self.tail, self.tail is not None or tail_lost, text, tail_lost or self.inside and self.lost
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, list[str], bool]]:
+    """Lines in order, in runs of one part that have no quote, or alone with one: (part, start given, lines, has quotes)."""
+    for batch in batches:
+        files, parts, states = (batch.column(k) for k in (0, 1, 2))
+        values, quotes = batch.column(3), pc.match_substring(batch.column(3), '"')
+        keys = list(zip(files.to_pylist(), parts.to_pylist()))
+        marks, given = quotes.to_pylist(), states.to_pylist()
+        lines, low = values.to_pylist(), 0
+        while low < len(lines):
+            high = low + 1
+            if not marks[low]:
+                while high < len(lines) and not marks[high] and keys[high] == keys[low]:
+                    high += 1
+            yield keys[low], given[low], lines[low:high], marks[low]
+            low = high
+
+
+_STATE = "inside boolean, tail string, closed boolean, open string, lost boolean"
+_PART_ROW = f"file string, part long, header string, outside struct<{_STATE}>, within struct<{_STATE}>"
+
+
+def _part_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """One row per part: its first record if it is a file's first part, and how it ends from either start (or the one given)."""
+    names = ["inside", "tail", "closed", "open", "lost"]
+    kind = pa.struct([(name, pa.string() if name in ("tail", "open") else pa.bool_()) for name in names])
+    schema = pa.schema([("file", pa.string()), ("part", pa.int64()), ("header", pa.string()), ("outside", kind), ("within", kind)])
+    at, readers, header = None, [], None
+
+    def row() -> pa.RecordBatch:
+        ends = [None if reader is None else dict(zip(names, reader.border())) for reader in readers]
+        return pa.RecordBatch.from_pylist(
+            [{"file": at[0], "part": at[1], "header": header, "outside": ends[0], "within": ends[1]}], schema
+        )
+
+    for key, given, lines, has_quotes in _runs(batches):
+        if key != at:
+            if at:
+                yield row()
+            at, header, where = key, None, f"{key[0]} from byte {key[1]}"
+            readers = [_Reader(inside, limit, where) if given in (None, int(inside)) else None for inside in (False, True)]
+        for reader in readers:
+            if reader is not None:
+                found = [reader.quoted(lines[0])] if has_quotes else reader.plain(lines)
+                if key[1] == 0 and header is None and reader is readers[0]:
+                    header = next((record for record in found if record is not None), None)
+    if at:
+        yield row()
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records that lie within a part, without the file's first."""
+    at, reader, skip, held = None, None, False, []
+    for key, given, lines, has_quotes in _runs(batches):
+        if key != at:
+            if given is None:
+                raise ValueError(f"{key[0]} has changed, or is split otherwise, since its parts were read")
+            at, reader, skip = key, _Reader(bool(given), MOST, f"{key[0]} from byte {key[1]}"), key[1] == 0
+        found = [reader.quoted(lines[0])] if has_quotes else reader.plain(lines)
+        for record in found:
+            if record is not None:
+                if not skip:
+                    held.append(record.removesuffix("\r"))
+                skip = False
+        if len(held) >= 5000:
+            yield pa.RecordBatch.from_pydict({"record": pa.array(held, pa.string())})
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pydict({"record": pa.array(held, pa.string())})
+
+
+def _lines(spark: SparkSession, path: str | list[str], starts: DataFrame | None = None) -> DataFrame:
+    """All lines with their file, their part (where it starts) and, if known, the state it starts in (0 outside, 1 inside)."""
+    text = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), "value"
     )
+    if starts is None:
+        return text.select("file", "part", F.lit(None).cast("int").alias("start"), "value")
+    # one short row per part of the input, and a part is as large as spark.sql.files.maxPartitionBytes says
+    return text.join(F.broadcast(starts), ["file", "part"], "left").select("file", "part", "start", "value")
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _read_parts(lines: DataFrame, limit: int) -> DataFrame:
+    return _kept(lines.mapInArrow(lambda batches: _part_rows(batches, limit), _PART_ROW), "csv-parts")
 
 
-def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``record``, the text of each record of the files, and ``is_header``, whether it is its file's first.
+def _with_starts(parts: DataFrame) -> DataFrame:
+    """Adds ``start``, the state each part starts in: a part sets the state whatever it was, keeps it, or turns it, so the last that
+    set it counts and the turns since."""
+    before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    outside, within = F.col("outside.inside"), F.col("within.inside")
+    turns = F.coalesce(F.sum(F.when(outside & ~within, 1).otherwise(0)).over(before), F.lit(0))
+    counted = parts.withColumn("_turns", turns)
+    sets = F.when(outside == within, F.struct(outside.cast("int").alias("state"), F.col("_turns").alias("turns")))
+    last = F.last(sets, ignorenulls=True).over(before)
+    start = F.coalesce(last["state"], F.lit(0)) + F.col("_turns") - F.coalesce(last["turns"], F.lit(0))
+    return counted.withColumn("start", (start % 2).cast("int")).drop("_turns")
 
-    Empty lines outside quotes are no records; a line of blanks is one. A carriage return at a record's end goes.
+
+def _crossing(parts: DataFrame) -> DataFrame:
+    """``record``: each record that lies across borders of parts, put together from its pieces."""
+    known = parts.withColumn("of", F.when(F.col("start") == 1, F.col("within")).otherwise(F.col("outside")))
+    pieces = known.select("file", "part", F.inline(F.array(
+        F.struct(F.lit(0).alias("place"), F.col("of.tail").alias("text"), F.lit(False).alias("begins")),
+        F.struct(F.lit(1).alias("place"), F.col("of.open").alias("text"), F.lit(True).alias("begins")),
+    ))).where("text is not null")
+    order = Window.partitionBy("file").orderBy("part", "place").rowsBetween(Window.unboundedPreceding, 0)
+    owned = pieces.withColumn("owner", F.sum(F.col("begins").cast("int")).over(order))
+    ordered = F.array_sort(F.collect_list(F.struct("part", "place", "text")))
+    size = F.sum(F.char_length("text"))
+    told = F.concat(F.col("file"), F.lit(f" from byte "), F.min("part").cast("string"), F.lit(f": a quote opens a record of over {MOST} characters"))
+    text = F.when(size > MOST, F.raise_error(told)).otherwise(F.array_join(F.transform(ordered, lambda piece: piece["text"]), "\n"))
+    return owned.groupBy("file", "owner").agg(F.regexp_replace(text, "\r$", "").alias("record")).select("record")
+
+
+def _missing(known: DataFrame) -> Column:
+    return F.when(F.col("start") == 1, F.col("within.lost")).otherwise(F.col("outside.lost"))
+
+
+def records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """``record``, the text of each record of the files but their first; and ``header``, these first ones, each once.
+
+    Empty lines outside quotes are no records; a line of blanks is one. A carriage return at a record's end goes. A header must
+    end within its file's first part.
     """
-    lines = _lines(spark, path)
-    parts = _parts(lines)
-    order = Window.partitionBy(*_PART).orderBy("place")
-    # a part's lines are together for the windows, so its one row of _parts meets them there
-    known = _with_states(lines, order, "ends").join(parts.hint("merge"), _PART)
-    state = F.when(F.col("start") == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
-    known = known.withColumn("state", state).withColumn("after", _after("state"))
-    known = known.where((F.col("state") == 1) | ~F.col("value").isin("", "\r"))
-    number = F.sum(F.when(F.col("state") == 0, 1).otherwise(0))
-    numbered = known.withColumns({
-        "number": number.over(order.rowsBetween(Window.unboundedPreceding, 0)), "numbers": number.over(Window.partitionBy(*_PART)),
-    })
-    is_first = (F.col("part") == 0) & (F.col("number") == 1)
-    alone = (F.col("state") == 0) & (F.col("after") == 0)
-    single = numbered.where(alone).select(F.col("value").alias("record"), is_first.alias("is_header"))
-    # a record that a part leaves open goes by that part, as do its lines in later parts
-    is_open = F.col("stays_open") & (F.col("number") == F.col("numbers"))
-    pieces = numbered.where(~alone).select(
-        "file", F.when(F.col("number") == 0, F.col("origin")).otherwise(F.col("part")).alias("owner"),
-        F.when((F.col("number") == 0) | is_open, -1).otherwise(F.col("number")).alias("of"), "part", "place", "value", is_first.alias("first"),
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("part", "place", "value")))
-    joined = pieces.groupBy("file", "owner", "of").agg(
-        F.array_join(F.transform(ordered, lambda line: line["value"]), "\n").alias("record"), F.bool_or("first").alias("is_header")
-    ).select("record", "is_header")
-    whole = single.unionAll(joined)
-    return whole.withColumn("record", F.regexp_replace("record", "\r$", ""))
+    parts = _kept(_with_starts(_read_parts(_lines(spark, path), BORDER)), "csv-starts")
+    starts = parts.select("file", "part", "start")
+    again = [row.file for row in parts.where(_missing(parts)).select("file").distinct().collect()]
+    whole = parts
+    if again:  # pieces longer than BORDER: these files' parts once more, from the state that is known by now
+        longer = _read_parts(_lines(spark, path, starts).where(F.col("file").isin(again)), MOST).join(starts, ["file", "part"])
+        whole = parts.where(~F.col("file").isin(again)).unionByName(longer)
+    first = F.col("part") == 0
+    headless = first & F.col("header").isNull() & F.col("outside.inside") | ~first & (F.col("first_header").isNull())
+    of_file = parts.withColumn("first_header", F.first("header").over(Window.partitionBy("file").orderBy("part")))
+    if not of_file.where(headless).isEmpty():
+        raise ValueError("a file has no whole header in its first part")
+    headers = parts.where(first & F.col("header").isNotNull()).select(F.regexp_replace("header", "\r$", "").alias("header")).distinct()
+    within = _lines(spark, path, starts).mapInArrow(_records, "record string")
+    return within.unionByName(_crossing(whole)), headers
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
     """Every field as text under the given names, by position. Empty fields are NULL.
 
     Header names may be blank or repeat. A header with another number of columns is an error, and so is a file whose header
-    differs from another's. No files' rows depend on how the files are split; ``spark.sql.files.maxPartitionBytes`` says how.
+    differs from another's. No files' rows depend on how the files are split; ``spark.sql.files.maxPartitionBytes`` says how, and
+    must not change before the rows are read.
     """
-    found = records(spark, path)
-    headers = found.where("is_header").select("record").distinct().limit(2).collect()
+    found, headers = records(spark, path)
+    headers = headers.limit(2).collect()
     if len(headers) > 1:
         raise ValueError("the files differ in their header")
-    for header in headers:
-        columns = next(csv.reader([header.record.removeprefix("﻿")], strict=False))
+    for row in headers:
+        columns = next(csv.reader([row.header.removeprefix("\ufeff")], strict=False))
         if len(columns) != len(names):
             raise ValueError(f"the file has {len(columns)} columns, {len(names)} were expected")
     options = {**_FORMAT, "multiLine": "true", "lineSep": "\n", "maxCharsPerColumn": "-1"}
     schema = ", ".join(f"`c{k}` string" for k in range(len(names)))
-    parsed = found.where("not is_header").select(F.from_csv("record", F.lit(schema), options).alias("row"))
+    # a generator, so that no later filter parses a record once more
+    parsed = found.select(F.explode(F.array(F.from_csv("record", F.lit(schema), options))).alias("row"))
     return parsed.select(*[F.col(f"row.c{k}").alias(name) for k, name in enumerate(names)])
 
 

@@ -5,12 +5,13 @@ import random
 from types import SimpleNamespace
 
 import pytest
-from conftest import request, values
+from conftest import plan_of, request, values
 from pyspark.sql import functions as F
 
 from civiclake import rules, schemas
 from civiclake.plans import bronze
 from civiclake.plans.views import register_views
+from civiclake.sources import csv as csv_source
 from civiclake.sources import jdbc, messages
 from civiclake.sources.csv import read_csv_text, write_csv_text
 from civiclake.sources.tables import Store, create_tables, save_as_table
@@ -69,6 +70,30 @@ def test_random_files_equal_a_whole_read(spark, tmp_path, part_bytes):
         )
 
 
+def test_long_records_across_parts(spark, tmp_path, part_bytes, monkeypatch):
+    """Pieces too long to keep while a part's start is not known are read once more."""
+    monkeypatch.setattr(csv_source, "BORDER", 50)
+    long = "".join(f"line {k}\n" for k in range(200))
+    rows = [("1", "a"), ("2", long), ("3", 'x "y"'), ("4", "b\n" + long + '"'), ("5", None)]
+    write_csv_text(spark.createDataFrame(rows, "k string, v string").coalesce(1), str(tmp_path / "csv"))
+    for size in (64, 300, 2000):
+        part_bytes(size)
+        assert values(read_csv_text(spark, str(tmp_path / "csv"), ["k", "v"])) == rows
+
+
+def test_a_quote_that_never_closes_is_reported(spark, tmp_path, part_bytes):
+    reader = csv_source._Reader(False, csv_source.MOST, "f.csv from byte 0")
+    reader.quoted('1,"open')
+    with pytest.raises(ValueError, match="f.csv from byte 0"):
+        reader.plain(["x" * (1 << 20)] * 200)
+
+
+def test_rows_come_from_one_scan(spark, tmp_path):
+    write_csv_text(spark.createDataFrame(TEXTS, "k string, v string"), str(tmp_path / "csv"))
+    plan = plan_of(read_csv_text(spark, str(tmp_path / "csv"), ["k", "v"]))
+    assert plan.count("FileScan text") == 1 and plan.count("from_csv") <= 2
+
+
 def test_one_multi_line_file_is_parsed_by_several_tasks(spark, tmp_path, part_bytes):
     (tmp_path / "big.csv").write_text("K,V\n" + "".join(f'{i},"text\n{i}"\n' for i in range(20_000)))
     part_bytes(20_000)
