@@ -76,5 +76,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def all_oracles() -> dict[str, str]:
     return {
         "op1_license_scans": licenses.oracle(), "op2_exact_top_k_search": topk.oracle(), "op5_mixing": mixing.oracle(),
-        "op13_source_divergence_audit": divergence.oracle(),
+        "op9_substring_dedup": substrings.oracle(), "op13_source_divergence_audit": divergence.oracle(),
     }

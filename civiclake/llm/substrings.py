@@ -2,20 +2,24 @@
 
 Documents are packed into bundles, written once, so that every pass sees the same ones. Pass 1: each bundle sketches its windows
 as hash cells with counts; the sketches are merged slice by slice, which overestimates counts and misses none, and each bundle
-learns which of its cells are estimated repeated. Pass 2: only windows in such cells go on, by 128-bit hashes; those found twice
-are repeated. Both passes send a cell or hash at most once per bundle, so a window with any number of copies stays small, and
+learns which of its cells are estimated repeated. Pass 2: only windows in such cells go on, by 128-bit digests; those found twice
+are repeated. A word's digest is 128 bits of XXH3, keyed by a number drawn for each run, and a window's is that of its words'
+digests, so no text can be made for two windows to agree. The sketch's hash is a cheap rolling one of the same word digests, which
+may make different windows share a cell, but never parts equal ones. Both passes send a cell or hash at most once per bundle, so a window with any number of copies stays small, and
 slices are cut by hash, so they are even. Answers are bits; nothing that grows with the data is broadcast or sent to the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Callable, Iterator
-from itertools import compress
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,29 +33,22 @@ BUNDLE = 2 << 20
 #: Cells of the sketch per window, so one window in so many is estimated repeated by chance.
 CELLS = 16
 #: Cells (as a power of two) that one task merges at once.
-SLICE_BITS = 23
+SLICE_BITS = 25
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[list(b" \t\n\x0b\x0c\r")] = True
-_FACTORS = np.random.default_rng(5).integers(1 << 62, 1 << 63, size=4, dtype=np.uint64) | np.uint64(1)
-_powers: dict[int, np.ndarray] = {}
-_inverses: dict[int, np.ndarray] = {}
+#: Odd factors of the rolling hash.
+_FACTOR = 0x9E3779B97F4A7C15
+_tables: dict[int, np.ndarray] = {}
 
 
-def _power_table(tables: dict[int, np.ndarray], which: int, factor: int, size: int) -> np.ndarray:
-    if which not in tables or len(tables[which]) < size:
+def _powers(factor: int, size: int) -> np.ndarray:
+    """The first powers of an odd number modulo 2^64."""
+    if factor not in _tables or len(_tables[factor]) < size:
         grown = np.full(max(size, 1 << 12), np.uint64(factor), dtype=np.uint64)
         grown[0] = 1
-        tables[which] = np.multiply.accumulate(grown)
-    return tables[which][:size]
-
-
-def _powers_of(which: int, size: int) -> np.ndarray:
-    return _power_table(_powers, which, int(_FACTORS[which]), size)
-
-
-def _inverses_of(which: int, size: int) -> np.ndarray:
-    return _power_table(_inverses, which, pow(int(_FACTORS[which]), -1, 1 << 64), size)
+        _tables[factor] = np.multiply.accumulate(grown)
+    return _tables[factor][:size]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -65,8 +62,8 @@ class Words:
     """The words of a bundle's texts, joined by line ends: their places, and each one's text."""
 
     def __init__(self, data: bytes, sizes: np.ndarray, window: int):
-        self.octets, self.window = np.frombuffer(data, np.uint8), window
-        inside = np.concatenate(([False], ~_BLANK[self.octets], [False]))
+        self.data, self.window = data, window
+        inside = np.concatenate(([False], ~_BLANK[np.frombuffer(data, np.uint8)], [False]))
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.starts, self.ends = edges[::2], edges[1::2]
         self.texts = np.concatenate(([0], np.cumsum(sizes + 1)))  # where texts begin
@@ -76,21 +73,25 @@ class Words:
         # a window starts at a word whose text goes on for long enough
         self.at = np.flatnonzero(text[:last] == text[window - 1:]) if last > 0 else np.zeros(0, np.int64)
 
-    def _word_hashes(self, which: int) -> np.ndarray:
-        lengths = self.ends - self.starts
-        inner = ~_BLANK[self.octets]
-        first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        within = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-        terms = (self.octets[inner].astype(np.uint64) + np.uint64(1)) * _powers_of(which, int(lengths.max()))[within]
-        return _mixed(np.add.reduceat(terms, first))
+    def digests(self, key: int) -> bytes:
+        """Sixteen bytes for each word."""
+        return b"".join(map(xxhash.xxh3_128_digest, self.data.split(), repeat(key)))
 
-    def hashes(self, which: int) -> np.ndarray:
-        """A 64-bit hash of each window; ``which`` is 0 or 1, for independent ones."""
+    def hashes(self, digests: bytes) -> np.ndarray:
+        """A 64-bit rolling hash of each window, for the sketch."""
         if not len(self.at):
             return np.zeros(0, np.uint64)
-        words = self._word_hashes(which)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * _powers_of(2 + which, len(words)))))
-        return _mixed((total[self.at + self.window] - total[self.at]) * _inverses_of(2 + which, len(words))[self.at])
+        words = np.frombuffer(digests, np.uint64)[::2]
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * _powers(_FACTOR, len(words)))))
+        back = _powers(pow(_FACTOR, -1, 1 << 64), len(words))
+        return _mixed((total[self.at + self.window] - total[self.at]) * back[self.at])
+
+    def exact(self, digests: bytes, chosen: np.ndarray, key: int) -> tuple[np.ndarray, np.ndarray]:
+        """The digests of the chosen windows, in two halves."""
+        view, size = memoryview(digests), 16 * self.window
+        found = b"".join(xxhash.xxh3_128_digest(view[at:at + size], key) for at in (16 * self.at[chosen]).tolist())
+        both = np.frombuffer(found, np.uint64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
 
 def _unpacked(data: bytes, sizes, window: int) -> tuple[bytes, Words]:
@@ -149,12 +150,12 @@ def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return distinct, counts > 1, number
 
 
-def _sketches(window: int, bits: int, slice_bits: int) -> Callable:
+def _sketches(window: int, bits: int, slice_bits: int, key: int) -> Callable:
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 _, words = _unpacked(row["data"], row["sizes"], window)
-                cells, many, _ = _cells(words.hashes(0), bits)
+                cells, many, _ = _cells(words.hashes(words.digests(key)), bits)
                 found = []
                 for of, a, b in _per_slice(cells, bits - slice_bits):
                     within = ((cells[a:b] >> np.uint64(64 - bits)) & np.uint64((1 << slice_bits) - 1)).astype("<u4")
@@ -195,14 +196,14 @@ def _answered(answers: pd.DataFrame, slices: list[tuple[int, int, int]], size: i
     return found
 
 
-def _suspects(row: pd.Series, answers: pd.DataFrame, window: int, bits: int, slice_bits: int):
-    """A bundle's words, the numbers of its windows estimated repeated, and their 128-bit hashes."""
+def _suspects(row: pd.Series, answers: pd.DataFrame, window: int, bits: int, slice_bits: int, key: int):
+    """A bundle's words, the numbers of its windows estimated repeated, and their 128-bit digests."""
     raw, words = _unpacked(row["data"], row["sizes"], window)
-    hashes = words.hashes(0)
-    cells, _, number = _cells(hashes, bits)
+    digests = words.digests(key)
+    cells, _, number = _cells(words.hashes(digests), bits)
     repeated = _answered(answers, _per_slice(cells, bits - slice_bits), len(cells))
     chosen = np.flatnonzero(repeated[number]) if len(number) else number
-    return raw, words, chosen, hashes[chosen], words.hashes(1)[chosen]
+    return raw, words, chosen, *words.exact(digests, chosen, key)
 
 
 def _distinct(high: np.ndarray, low: np.ndarray):
@@ -216,10 +217,10 @@ def _distinct(high: np.ndarray, low: np.ndarray):
     return high[new], low[new], counts > 1, number
 
 
-def _asked(window: int, bits: int, slice_bits: int) -> Callable:
+def _asked(window: int, bits: int, slice_bits: int, key: int) -> Callable:
     def asked(bundles: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = bundles.iloc[0]
-        _, _, _, high, low = _suspects(row, answers, window, bits, slice_bits)
+        _, _, _, high, low = _suspects(row, answers, window, bits, slice_bits, key)
         high, low, many, _ = _distinct(high, low)
         found = [
             (of, row["bundle"], high[a:b].tobytes() + low[a:b].tobytes(), np.packbits(many[a:b]).tobytes())
@@ -243,11 +244,11 @@ def _found_twice(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 
-def _removed(window: int, bits: int, slice_bits: int, with_text: bool) -> Callable:
+def _removed(window: int, bits: int, slice_bits: int, key: int, with_text: bool) -> Callable:
     def removed(bundles: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = bundles.iloc[0]
         exact = answers["exact"]
-        raw, words, chosen, high, low = _suspects(row, answers[~exact], window, bits, slice_bits)
+        raw, words, chosen, high, low = _suspects(row, answers[~exact], window, bits, slice_bits, key)
         high, low, _, number = _distinct(high, low)
         repeated = _answered(answers[exact], _per_slice(high, bits - slice_bits), len(high))
         at = words.at[chosen[repeated[number]]] if len(chosen) else chosen
@@ -275,7 +276,7 @@ def _deduplicated(docs: DataFrame, id_column: str, text_column: str, window: int
     )
     windows = bundles.agg(F.sum("windows")).first()[0] or 0
     bits = max(SLICE_BITS, min(62, (CELLS * windows).bit_length()))
-    parameters = window, bits, SLICE_BITS
+    parameters = window, bits, SLICE_BITS, secrets.randbits(63)
     packed = bundles.select("bundle", "ids", "sizes", "data")
     sketches = packed.mapInArrow(_sketches(*parameters), QUESTIONS)
     estimates = stored(sketches.groupBy("slice").applyInPandas(_merged(SLICE_BITS), ANSWERS), "estimates")
@@ -301,3 +302,25 @@ def result(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and the SHA-256 of the kept words."""
     found = _deduplicated(docs, "doc_id", "text", WINDOW, False)
     return found.withColumnRenamed("kept", "kept_sha256")
+
+
+def oracle() -> str:
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc, words, unnest(range(1, len(words) - {WINDOW - 2})) AS pos FROM docs WHERE len(words) >= {WINDOW}
+), windows AS (
+  SELECT doc, pos, words[pos:pos + {WINDOW - 1}] AS content FROM starts
+), repeated AS (
+  SELECT content FROM windows GROUP BY content HAVING count(*) > 1
+), removed AS (
+  SELECT DISTINCT doc, unnest(range(pos, pos + {WINDOW})) AS place FROM windows SEMI JOIN repeated USING (content)
+), placed AS (
+  SELECT doc, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM docs
+), kept AS (
+  SELECT doc, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text FROM placed ANTI JOIN removed USING (doc, place) GROUP BY doc
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc)
+"""

@@ -44,3 +44,16 @@ def test_repeats_within_one_document(spark):
 
 def test_no_documents(no_docs):
     assert substrings.result(no_docs).collect() == []
+
+
+def test_words_that_a_linear_hash_confuses(spark):
+    """Two words in an order of doublings, which agree under any polynomial modulo 2^64."""
+    order = "ab"
+    while len(order) < 2048:
+        order += order.translate(str.maketrans("ab", "ba"))
+    first, second = order[:1024], order[1024:]
+    rest = " ".join(f"w{k}" for k in range(34))
+    docs = spark.createDataFrame([(0, f"{first} {rest}"), (1, f"{second} {rest}")], "doc_id long, text string")
+    assert [row["n_removed"] for row in substrings.result(docs).orderBy("doc_id").collect()] == [0, 0]
+    docs = spark.createDataFrame([(0, f"{first} {rest}"), (1, f"{first} {rest}")], "doc_id long, text string")
+    assert [row["n_removed"] for row in substrings.result(docs).orderBy("doc_id").collect()] == [35, 35]
