@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.operators.lookups import unmatched
+from civiclake.operators.lookups import fits_broadcast, unmatched
 
 
 def percent(condition: Column) -> Column:
@@ -64,3 +64,40 @@ def fk_violations(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Da
         for column, (dim, key) in dims.items()
     ]
     return reduce(DataFrame.unionAll, counts)
+
+
+def _marked(rows: DataFrame, broken: DataFrame, columns: list[str], mark: str) -> DataFrame:
+    """Adds ``mark``, true where the columns' values are among the broken ones, NULL like any value."""
+    values = broken.select(*[F.col(name).alias(f"_broken_{name}") for name in columns], F.lit(True).alias(mark))
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_broken_{name}")) for name in columns])
+    values = F.broadcast(values) if fits_broadcast(values) else values.hint("merge")
+    return rows.join(values, same, "left").drop(*[f"_broken_{name}" for name in columns])
+
+
+def with_reasons(
+    rows: DataFrame, required: list[str], key: list[str], references: dict[str, tuple[DataFrame, str]],
+    values: dict[str, Column],
+) -> DataFrame:
+    """Adds ``reasons``, what each row breaks of its contract, sorted; an empty list for a good row.
+
+    ``required.COLUMN``: no value. ``unique.KEY``: another row has its key. ``reference.COLUMN``: its value has no row in the
+    dimension. ``values`` maps names of further reasons to conditions that good rows fulfil; where one is unknown (NULL) it holds.
+    Only distinct key values are compared with a dimension, and only broken ones come back to the rows: measured, and broadcast
+    if they are few.
+    """
+    reasons = {f"required.{name}": F.col(name).isNull() for name in required}
+    reasons |= {name: ~condition for name, condition in values.items()}
+    out = _marked(rows, pk_violations(rows, key), key, "_repeated") if key else rows
+    marks = {f"unique.{'+'.join(key)}": "_repeated"} if key else {}
+    for k, (column, (dim, dim_key)) in enumerate(references.items()):
+        out = _marked(out, unmatched(rows, dim, column, dim_key), [column], f"_lost_{k}")
+        marks[f"reference.{column}"] = f"_lost_{k}"
+    reasons |= {name: F.col(mark) for name, mark in marks.items()}
+    found = F.array(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in sorted(reasons.items())])
+    return out.select(*rows.columns, F.array_compact(found).alias("reasons"))
+
+
+def split_rows(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows without reasons, as they were, and the refused ones with theirs."""
+    good = F.size("reasons") == 0
+    return judged.where(good).drop("reasons"), judged.where(~good)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civiclake import rules
-from civiclake.operators.quality import fk_violations, judge, measure, null_violations, percent, pk_violations
+from civiclake.operators.quality import fk_violations, judge, measure, null_violations, percent, pk_violations, with_reasons
 
 
 def quality_report(requests: DataFrame, location: DataFrame,
@@ -58,3 +58,12 @@ def repeated_keys(tables: dict[str, DataFrame]) -> DataFrame:
 def broken_references(tables: dict[str, DataFrame]) -> DataFrame:
     """Facts whose key has no dimension row, by key column."""
     return fk_violations(tables["requests"], {key: (tables[dim], key) for key, dim in rules.FOREIGN_KEYS.items()})
+
+
+def judged_requests(tables: dict[str, DataFrame]) -> DataFrame:
+    """The facts with what each breaks of the contract; ``quality.split_rows`` parts them."""
+    references = {key: (tables[dim], key) for key, dim in rules.FOREIGN_KEYS.items()}
+    return with_reasons(
+        tables["requests"], rules.REQUIRED_COLUMNS["requests"], rules.PRIMARY_KEYS["requests"], references,
+        {"validity_resolution_hours": F.col("resolution_hours") >= 0},
+    )

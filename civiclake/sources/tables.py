@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,6 +53,21 @@ class Store:
         draft.write(df, table, mode)
         return draft.publish().read(table)
 
+    def write_declared(self, df: DataFrame, table: str, required: list[str], key: list[str], mode: str = "overwrite") -> DataFrame:
+        """Write the table only if every required column has a value in all rows, new or held, and no key comes twice.
+
+        NULLs are counted while the rows are written; keys, NULL like any value, are counted in what was written. A refused write
+        raises and leaves the table as it was.
+        """
+        counted, draft = Observation(), self.draft()
+        missing = [F.count_if(F.col(name).isNull()).alias(name) for name in required]
+        written = draft.write(df.observe(counted, F.count(F.lit(1)).alias("_rows"), *missing), table, mode)
+        empty = sorted(name for name in required if counted.get[name])
+        twice = written.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+        if empty or not twice.isEmpty():
+            raise ValueError(f"{table}: no value in required columns {empty}" if empty else f"{table}: {key} comes twice")
+        return draft.publish().read(table)
+
     def read(self, table: str, only: list[str] | None = None) -> DataFrame:
         """The table, or the parts of it named in ``only``, as far as it has them."""
         reader, schema = self.spark.read, TABLES.get(table)
@@ -154,3 +169,13 @@ def save_as_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFram
     """Write a query's result as a catalog table and return the table."""
     df.write.mode(mode).format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """A catalog table whose rows lie in ``buckets`` files by a hash of ``key``, sorted by it, and return the table.
+
+    Tables with as many buckets by their keys are joined and grouped by them without being moved. ``path`` puts the files there.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)

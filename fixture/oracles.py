@@ -293,6 +293,16 @@ def all_oracles() -> dict[str, str]:
  from lineitem group by all) select row_number() over (order by not early, l_partkey, l_suppkey) as line_key, l_partkey,
  l_suppkey from pairs""",
         "build_switch": _switch(),
+        "infer_message_types": """select event_id, floor(value * 1000) / 2 as half, event_type = 'click' as is_click, user_id,
+ event_type as kind, case when event_type = 'click' then floor(value * 1000)::bigint::varchar else event_type end as mixed from events""",
+        "channel_share_bucketed": _with("select * from by_borough", upto="by_borough"),
+        "contract_rejects": """with judged as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, concat_ws(',',
+ case when l_partkey not in (select p_partkey from part where p_size > 10) then 'reference.l_partkey' end,
+ case when l_suppkey not in (select s_suppkey from supplier where s_acctbal > 0) then 'reference.l_suppkey' end,
+ case when l_shipdate is null then 'required.l_shipdate' end, case when l_quantity >= 45 then 'small_quantity' end,
+ case when count(*) over (partition by l_orderkey, l_linenumber) > 1 then 'unique.l_orderkey+l_linenumber' end) as reasons
+ from lineitem) select * from judged where reasons <> ''""",
+        "declared_write": "select * from customer",
     }
 
 

@@ -18,7 +18,7 @@ from civiclake.operators.dedupe import keep_first
 from civiclake.operators.dimensions import calendar_dim, distinct_dim
 from civiclake.operators.lookups import join_back, lookup_key, unmatched
 from civiclake.operators.numbering import continued_key, surrogate_key
-from civiclake.operators.quality import fk_violations, pk_violations
+from civiclake.operators.quality import fk_violations, pk_violations, split_rows, with_reasons
 from civiclake.operators.rollups import first_rows, share_of_parent
 from civiclake.plans import bronze, checks, incremental, reports, run, silver, star
 from civiclake.plans.views import register_views
@@ -26,8 +26,8 @@ from civiclake.rules import RAW_COLUMNS
 from civiclake.schemas import DATE, MESSAGE
 from civiclake.session import pin_settings, scratch_path
 from civiclake.sources.csv import read_csv_text, write_csv_text
-from civiclake.sources.messages import decode_inferred, decode_messages, encode_messages, matched_fields
-from civiclake.sources.tables import Store, create_tables
+from civiclake.sources.messages import decode_inferred, decode_messages, decode_typed, encode_messages, matched_fields
+from civiclake.sources.tables import Store, create_tables, save_as_table, save_bucketed
 from civiclake.streaming.ingest import append_available, stream_message_files
 from fixture.raw import (
     TEST_AGENCY_DEFAULT, TEST_AGENCY_TYPES, TEST_BOROUGH, TEST_BOROUGHS, TEST_CATEGORIES, TEST_CATEGORY_DEFAULT, raw,
@@ -107,6 +107,20 @@ def infer_message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_inferred(encode_messages(_event_texts(spark, sf_dir), "event_id"))
 
 
+def infer_message_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, truth values, an object, and a field that is a number in some messages and a text in others."""
+    thousandths = F.floor(F.col("value") * 1000)
+    kind = F.col("event_type")
+    fields = F.struct(
+        "event_id", (thousandths / 2).alias("half"), (kind == "click").alias("is_click"),
+        F.struct("user_id", kind.alias("kind")).alias("user"),
+    )
+    mixed = F.when(kind == "click", thousandths.cast("string")).otherwise(F.concat(F.lit('"'), kind, F.lit('"')))
+    body = F.concat(F.regexp_replace(F.to_json(fields), "\\}$", ""), F.lit(',"mixed":'), mixed, F.lit("}"))
+    found = decode_typed(table(spark, sf_dir, "events").select(body.alias("value")))
+    return found.select("event_id", "half", "is_click", "user.user_id", "user.kind", "mixed")
+
+
 def decode_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages whose fields are named like a file's header, matched to columns by name or by a given table."""
     events = _event_texts(spark, sf_dir)
@@ -364,6 +378,16 @@ def channel_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.by_borough_order(reports.channel_by_borough(*tables))
 
 
+def channel_share_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From fact and silver, both stored in buckets by request, so that their join moves nothing."""
+    facts, cleaned, places = _star(spark, sf_dir, "requests", "request_cleaned", "location")
+    names = [f"{name}_{uuid.uuid4().hex}" for name in ("facts", "cleaned")]
+    both = [
+        save_bucketed(rows, name, "request_id", 8, scratch_path(spark, name)) for rows, name in zip((facts, cleaned), names)
+    ]
+    return reports.by_borough_order(reports.channel_by_borough(*both, places))
+
+
 def channel_share_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same without joining two large tables."""
     return reports.by_borough_order(
@@ -385,12 +409,11 @@ def ctas_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A roll-up made a catalog table by an analyst's SQL."""
     register_views(stored(spark, sf_dir), "gold_")
     name = f"rollup_{uuid.uuid4().hex}"
-    spark.sql(f"""
-        create table {name} using parquet as select category, complaint_type, year, count(*) as request_count
+    return save_as_table(spark.sql("""
+        select category, complaint_type, year, count(*) as request_count
         from gold_requests join gold_complaint using (complaint_key) join gold_date using (date_key)
         group by category, complaint_type, year
-    """)
-    return spark.table(name)
+    """), name)
 
 
 def ddl_then_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,6 +509,35 @@ def orders_without_creditor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unmatched(table(spark, sf_dir, "orders"), creditors, "o_custkey", "c_custkey")
 
 
+def contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that break a contract, with all their reasons."""
+    lineitem, part, supplier = (table(spark, sf_dir, name) for name in ("lineitem", "part", "supplier"))
+    judged = with_reasons(
+        lineitem, ["l_shipdate"], ["l_orderkey", "l_linenumber"],
+        {"l_partkey": (part.where(F.col("p_size") > 10), "p_partkey"), "l_suppkey": (supplier.where(F.col("s_acctbal") > 0), "s_suppkey")},
+        {"small_quantity": F.col("l_quantity") < 45},
+    )
+    _, refused = split_rows(judged)
+    return refused.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.array_join("reasons", ",").alias("reasons"))
+
+
+def declared_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers under declared constraints: a load with a NULL and one with a repeated key are refused, and change nothing."""
+    customer, refused = table(spark, sf_dir, "customer"), 0
+    store = Store(spark, scratch_path(spark, "declared"))
+    declared = {"required": ["c_custkey", "c_name"], "key": ["c_custkey"]}
+    store.write_declared(customer, "customer", **declared)
+    nameless = customer.withColumn("c_name", F.when(F.col("c_acctbal") > 0, F.col("c_name")))
+    for rows, mode in ((nameless, "overwrite"), (customer, "append")):
+        try:
+            store.write_declared(rows, "customer", **declared, mode=mode)
+        except ValueError:
+            refused += 1
+    if refused != 2:
+        raise AssertionError("a load that breaks the constraints was taken")
+    return store.read("customer")
+
+
 def fk_violation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, part, supplier = (table(spark, sf_dir, name) for name in ("lineitem", "part", "supplier"))
     return fk_violations(lineitem, {
@@ -524,6 +576,7 @@ _ALL = [
     repeated_keys, broken_references, raw_key_violations, orders_without_creditor, fk_violation_counts,
     full_build_counts, rollup_large_dims, channel_share_large_dims, ctas_rollup, ddl_then_insert, append_empty_refused,
     silver_incremental, rollup_incremental, channel_incremental, surrogate_key_continued, build_switch,
+    infer_message_types, channel_share_bucketed, contract_rejects, declared_write,
 ]
 
 
