@@ -35,7 +35,7 @@ REACH = 128
 #: Distance of an agreement from any cut end: longer than every special token and every fixed pre-token.
 MARGIN = 16
 #: Pre-tokens whose ids a worker remembers at once.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 
 # Below this code point no character composes with another or becomes several; above, the library does all the work.
 _PLAIN_END = 0x180

@@ -19,6 +19,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that Spark hands to Python at once. The default holds 10,000 whole texts several times over, in the JVM and in each worker.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in small batches from now on. Results don't depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of a whole row, so that equal rows are alike wherever they lie."""
+    return F.xxhash64(*(F.col(name) for name in docs.columns))
+
+
 def id_and_bytes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``doc_id`` and the whole text as UTF-8 bytes; a null text is empty. All other columns are left out."""
     text = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))

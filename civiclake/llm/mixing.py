@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from civiclake.llm.common import stored
+from civiclake.llm.common import row_hash, stored
 from civiclake.operators.lookups import lookup_key
 from civiclake.operators.numbering import surrogate_key
 
@@ -101,15 +101,18 @@ def _sendable(table: DataFrame, rows: int) -> DataFrame:
 def mix(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
     weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, block: int = BLOCK, shard_documents: int = SHARD_DOCUMENTS,
+    seed: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``size`` in words, ``source_size``, ``target``, ``taken``.
 
     Sources in code point order, null last, get the ``weights`` in turn. No document is taken more than ``repeats`` times: it
     is taken floor(taken / size) times whole, and its first taken mod size words once more. Null and blank texts have size 0
     and nothing of them is taken. Rows with one id lie next to each other by size; rows that are equal in both are alike.
-    An empty table gives an empty one; if there are no words at all, targets are 0. Other columns are ignored.
+    An empty table gives an empty one; if there are no words at all, targets are 0. Other columns are ignored. What a row draws
+    depends on ``seed``, its id unless given.
     """
-    seeded = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))).cast("binary"))
+    drawn = F.col(id_column) if seed is None else seed
+    seeded = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(drawn.cast("string"), F.lit(""))).cast("binary"))
     sizes = stored(docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(source_column).alias("source"), words(text_column).alias("size"),
         seeded.alias("place"),
@@ -152,11 +155,13 @@ def mix(
 
 def sample(docs: DataFrame, text_column: str = "text", source_column: str = "source") -> DataFrame:
     """The mixed rows of ``docs``, with its columns: each document as often as the mix takes it, the last time perhaps only
-    its first words. Documents the mix takes nothing of, and those without words, are not in it."""
+    its first words. Documents the mix takes nothing of, and those without words, are not in it. What a row draws depends on its
+    values alone, not on how ``docs`` is laid out in files or partitions; which of several equal rows is taken does not show."""
     if "_row" in docs.columns:
         raise ValueError("column _row exists")
     rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mixed")
-    takes = mix(rows, "_row", text_column, source_column).where("taken > 0").select(
+    drawn = row_hash(docs)
+    takes = mix(rows, "_row", text_column, source_column, seed=drawn).where("taken > 0").select(
         F.col("doc_id").alias("_row"), F.expr("taken div size").alias("_whole"), F.expr("taken % size").alias("_rest")
     )
     copies = F.array_repeat(F.lit(0).cast("long"), F.col("_whole").cast("int"))
