@@ -92,7 +92,7 @@ def with_next_lead(docs: DataFrame, id_column: str, text_column: str) -> DataFra
     ).withColumns({"key": F.xxhash64("doc_id", "text"), "more": F.hash("text")})
     places = keyed.groupBy("key", "more").agg(
         F.first("doc_id").alias("doc_id"), F.first(F.char_length("text")).alias("n"), F.count("*").alias("copies")
-    ).withColumn("back", -F.col("doc_id"))
+    ).withColumn("back", F.bitwise_not("doc_id"))
     numbered = stored(surrogate_key(places, "number", ["back", "key", "more"]), "order")
     count, copies = numbered.agg(F.count("*"), F.max("copies")).first()
     # a document sends its lead to the one before it
