@@ -1,0 +1,18 @@
+"""The entry file without the training-data operators."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+from fixture.queries import all_queries
+
+ROOT = Path(__file__).resolve().parents[1]
+
+
+@pytest.mark.parametrize("blocked", ["tiktoken", "civiclake.llm", "corpus_pipeline"])
+def test_other_queries_work_without_it(blocked):
+    code = f"import sys; sys.modules[{blocked!r}] = None; import __spark_entry__ as e; print(*e.queries()); e.oracle_sql()"
+    told = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
+    assert set(all_queries()) <= set(told)

@@ -103,3 +103,20 @@ def test_failed_rules_are_reported(spark, folders):
     for name in ("date", "agency", "location", "complaint", "status"):
         other.write(store.read(name), name)
     assert main(["check", "--store", folders["other"]], spark) == 1
+
+
+def test_merge_takes_new_messages_into_silver(spark, folders):
+    messages = ["--store", folders["store"], "--messages", folders["messages"]]
+    store = Store(spark, folders["store"])
+    main(["publish", *messages, "--csv", folders["in"]], spark)
+    main(["merge", *messages], spark)
+    first = store.tables()
+    main(["merge", *messages], spark)
+    assert store.tables() == first and values(store.read("request_cleaned"), "request_id") == [(1,), (2,), (3,)]
+    main(["publish", *messages, "--csv", folders["in"]], spark)
+    main(["merge", *messages], spark)
+    assert values(store.read("request_cleaned"), "request_id") == [(1,), (2,), (3,)]
+    main(["bronze", "--store", folders["other"], "--csv", folders["in"]], spark)
+    main(["silver", "--store", folders["other"]], spark)
+    whole = Store(spark, folders["other"]).read("request_cleaned").where("request_id is not null")
+    assert values(store.read("request_cleaned")) == values(whole)
