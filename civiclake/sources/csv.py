@@ -179,7 +179,7 @@ def _kept(df: DataFrame, label: str) -> DataFrame:
 
 
 def _read_parts(lines: DataFrame, limit: int) -> DataFrame:
-    return _kept(lines.mapInArrow(lambda batches: _part_rows(batches, limit), _PART_ROW), "csv-parts")
+    return lines.mapInArrow(lambda batches: _part_rows(batches, limit), _PART_ROW)
 
 
 def _with_starts(parts: DataFrame) -> DataFrame:
@@ -215,27 +215,29 @@ def _missing(known: DataFrame) -> Column:
     return F.when(F.col("start") == 1, F.col("within.lost")).otherwise(F.col("outside.lost"))
 
 
-def records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """``record``, the text of each record of the files but their first; and ``header``, these first ones, each once.
+def records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, list[str]]:
+    """``record``, the text of each record of the files but their first; and these first ones: the least and the greatest of them.
 
     Empty lines outside quotes are no records; a line of blanks is one. A carriage return at a record's end goes. A header must
     end within its file's first part.
     """
-    parts = _kept(_with_starts(_read_parts(_lines(spark, path), BORDER)), "csv-starts")
+    parts = _kept(_with_starts(_read_parts(_lines(spark, path), BORDER)), "csv-parts")
     starts = parts.select("file", "part", "start")
-    again = [row.file for row in parts.where(_missing(parts)).select("file").distinct().collect()]
-    whole = parts
-    if again:  # pieces longer than BORDER: these files' parts once more, from the state that is known by now
-        longer = _read_parts(_lines(spark, path, starts).where(F.col("file").isin(again)), MOST).join(starts, ["file", "part"])
-        whole = parts.where(~F.col("file").isin(again)).unionByName(longer)
-    first = F.col("part") == 0
-    headless = first & F.col("header").isNull() & F.col("outside.inside") | ~first & (F.col("first_header").isNull())
+    first, header = F.col("part") == 0, F.regexp_replace("header", "\r$", "")
     of_file = parts.withColumn("first_header", F.first("header").over(Window.partitionBy("file").orderBy("part")))
-    if not of_file.where(headless).isEmpty():
+    headless = F.when(first, F.col("header").isNull() & F.col("outside.inside")).otherwise(F.col("first_header").isNull())
+    found = of_file.agg(
+        F.min(header).alias("least"), F.max(header).alias("greatest"), F.bool_or(headless).alias("headless"),
+        F.collect_set(F.when(_missing(parts), F.col("file"))).alias("again"),
+    ).first()
+    if found["headless"]:
         raise ValueError("a file has no whole header in its first part")
-    headers = parts.where(first & F.col("header").isNotNull()).select(F.regexp_replace("header", "\r$", "").alias("header")).distinct()
+    again, whole = found["again"], parts
+    if again:  # pieces longer than BORDER: these files' parts once more, from the state that is known by now
+        longer = _read_parts(_lines(spark, path, starts).where(F.col("file").isin(again)), MOST).join(starts, ["file", "part"])
+        whole = parts.where(~F.col("file").isin(again)).unionByName(_kept(longer, "csv-long-parts"))
     within = _lines(spark, path, starts).mapInArrow(_records, "record string")
-    return within.unionByName(_crossing(whole)), headers
+    return within.unionByName(_crossing(whole)), sorted({x for x in (found["least"], found["greatest"]) if x is not None})
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
@@ -246,11 +248,10 @@ def read_csv_text(spark: SparkSession, path: str | list[str], names: list[str])
     must not change before the rows are read.
     """
     found, headers = records(spark, path)
-    headers = headers.limit(2).collect()
     if len(headers) > 1:
         raise ValueError("the files differ in their header")
-    for row in headers:
-        columns = next(csv.reader([row.header.removeprefix("\ufeff")], strict=False))
+    for header in headers:
+        columns = next(csv.reader([header.removeprefix("\ufeff")], strict=False))
         if len(columns) != len(names):
             raise ValueError(f"the file has {len(columns)} columns, {len(names)} were expected")
     options = {**_FORMAT, "multiLine": "true", "lineSep": "\n", "maxCharsPerColumn": "-1"}
