@@ -48,7 +48,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not folder:
         app = spark.sparkContext.applicationId
         if app not in _local_scratch:
-            if not spark.sparkContext.master.startswith("local"):
+            if spark.sparkContext.master.split("[")[0] != "local":
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             _local_scratch[app] = tempfile.mkdtemp(prefix="civiclake-")
         folder = _local_scratch[app]
