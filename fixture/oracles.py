@@ -31,7 +31,9 @@ _SEGMENT = """case when {0} in ('AUTOMOBILE', 'MACHINERY') then 'Industry'
 _CATEGORY = """case when regexp_matches({0}, '(?i)ring|rod') then 'Round' when regexp_matches({0}, '(?i)old') then 'Old'
  when regexp_matches({0}, '(?i)gear|bolt') then 'Fasten' else 'Other' end"""
 
-_CLEAN_COLUMNS = f"""try_cast(unique_key as bigint) as request_id,
+_WHOLE_KEY = r"try_cast(regexp_replace(unique_key, '^(\s*[+-]?[0-9]+)\.[0-9]*(\s*)$', '\1\2') as bigint)"
+
+_CLEAN_COLUMNS = f"""{_WHOLE_KEY} as request_id,
  try_strptime(created_date, {_TIME}) as created_date, try_strptime(closed_date, {_TIME}) as closed_date,
  upper(trim(agency)) as agency_code, {_title('agency_name')} as agency_name, {_title('problem')} as complaint_type,
  {_title('problem_detail')} as descriptor, upper(trim(borough)) as borough, {_title('city')} as city,
@@ -105,12 +107,42 @@ def _with(query: str, *, upto: str) -> str:
     return f"with {', '.join(f'{name} as ({_TABLES[name]})' for name in needed)} {query}"
 
 
+def _sent(sql: str) -> str:
+    """The same over what is published as messages: all raw rows but those with a blank key."""
+    return sql.replace(f"raw as ({RAW_SQL})", f"raw as (select * from ({RAW_SQL}) where trim(unique_key) <> '')")
+
+
 _EVENT_TEXT = """cast(event_id as varchar) as event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts,
  cast(user_id as varchar) as user_id, event_type, cast(cast(floor(value * 1000) as bigint) as varchar) as value, props"""
 _TYPE_COUNTS = """select borough, complaint_type, count(*) as total from requests join complaint using (complaint_key)
  join location using (location_key) group by borough, complaint_type"""
 
 
+def _branches() -> str:
+    branches = {
+        "key_blank": "trim(unique_key) = ''",
+        "key_no_number": "regexp_matches(unique_key, '[A-Z]')",
+        "key_decimal_tail": "regexp_matches(unique_key, '^ *[0-9]+[.][0-9]* *$')",
+        "created_unreadable": f"created_date is not null and try_strptime(created_date, {_TIME}) is null",
+        "created_unreadable_while_open":
+            f"try_strptime(created_date, {_TIME}) is null and try_strptime(closed_date, {_TIME}) is null",
+        "closed_unreadable": f"closed_date is not null and try_strptime(closed_date, {_TIME}) is null",
+        "closed_not_later": f"try_strptime(closed_date, {_TIME}) <= try_strptime(created_date, {_TIME})",
+        "agency_name_missing": "agency_name is null",
+        "zip_blank": "trim(incident_zip) = ''",
+        "zip_literal_none": "incident_zip = 'N/A'",
+        "city_missing": "city is null and borough is not null",
+        "borough_missing": "borough is null",
+        "status_unknown": "status = 'In Limbo'",
+        "latitude_unreadable": "latitude = 'n/a'",
+        "latitude_zero": "latitude = '0'",
+        "longitude_with_decimals": "longitude like '%.25'",
+    }
+    return " union all ".join(
+        f"select '{name}' as branch, count(*) as row_count from raw where {condition}" for name, condition in branches.items()
+    )
+
+
 def _percent(condition: str) -> str:
     return f"avg(({condition})::integer::double) * 100"
 
@@ -188,7 +220,7 @@ def all_oracles() -> dict[str, str]:
         "csv_round_trip": "select cast(doc_id as varchar) as doc_id, nullif(text, '') as text, lang, source,"
                           " cast(n_chars as varchar) as n_chars from documents",
         "bronze_from_csv": _with(f"select {raw_columns} from raw", upto="raw"),
-        "json_encode_decode": _with(f"select {raw_columns} from raw", upto="raw"),
+        "json_encode_decode": _sent(_with(f"select {raw_columns} from raw", upto="raw")),
         "infer_message_fields": f"select {_EVENT_TEXT} from events",
         "csv_multiline_split": "select cast(doc_id as varchar) as doc_id, nullif(text, '') as text, lang, source,"
                                " cast(n_chars as varchar) as n_chars from documents",
@@ -199,7 +231,8 @@ def all_oracles() -> dict[str, str]:
                          " from customer where c_acctbal >= 0 or c_mktsegment = 'BUILDING'",
         "contract_report": _with(_contract_report(), upto="requests"),
         "ingest_available_twice": f"select {_EVENT_TEXT} from events",
-        "streaming_clean": _with("select * from clean", upto="clean"),
+        "branch_counts": _with(_branches(), upto="raw"),
+        "streaming_clean": _sent(_with("select * from clean", upto="clean")),
         "clean_projection": _with(f"select {_CLEAN_COLUMNS} from raw", upto="raw"),
         "valid_interval_filter": _with("select * from clean", upto="clean"),
         "keep_first_per_key": "select * exclude (place) from (select *, row_number() over (partition by l_orderkey"
@@ -286,9 +319,9 @@ def all_oracles() -> dict[str, str]:
                                " union all select 'l_suppkey', count(*) from lineitem"
                                " where l_suppkey not in (select s_suppkey from supplier where s_acctbal > 0)",
         "full_build_counts": _with(_counts(), upto="by_borough"),
-        "silver_incremental": _with("select * from silver", upto="silver"),
-        "rollup_incremental": _with("select * from by_year", upto="by_year"),
-        "channel_incremental": _with("select * from by_borough", upto="by_borough"),
+        "silver_incremental": _sent(_with("select * from silver", upto="silver")),
+        "rollup_incremental": _sent(_with("select * from by_year", upto="by_year")),
+        "channel_incremental": _sent(_with("select * from by_borough", upto="by_borough")),
         "surrogate_key_continued": """with pairs as (select l_partkey, l_suppkey, bool_or(l_returnflag = 'A') as early
  from lineitem group by all) select row_number() over (order by not early, l_partkey, l_suppkey) as line_key, l_partkey,
  l_suppkey from pairs""",

@@ -8,11 +8,12 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.functions.dates import calendar_parts, elapsed_hours
 from civiclake.functions.labels import first_match, label_of
+from civiclake.functions.text import is_blank
 from civiclake.operators.clean import project
 from civiclake.operators.dedupe import keep_first
 from civiclake.operators.dimensions import calendar_dim, distinct_dim
@@ -22,7 +23,7 @@ from civiclake.operators.quality import fk_violations, pk_violations, split_rows
 from civiclake.operators.rollups import first_rows, share_of_parent
 from civiclake.plans import bronze, checks, incremental, reports, run, silver, star
 from civiclake.plans.views import register_views
-from civiclake.rules import RAW_COLUMNS
+from civiclake.rules import RAW_COLUMNS, STATUS_ROWS
 from civiclake.schemas import DATE, MESSAGE
 from civiclake.session import pin_settings, scratch_path
 from civiclake.sources.csv import read_csv_text, write_csv_text
@@ -183,6 +184,37 @@ def keep_first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first(lineitem, ["l_orderkey"], ["l_shipdate"], ties)
 
 
+def branch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many raw rows take each branch of the cleaning that plain data never takes, in one pass."""
+    spec = {f"_{name}": column for name, column in silver.cleaning_spec().items()}
+    known = [row[1] for row in STATUS_ROWS]
+
+    def lost(name: str, cleaned: str) -> Column:
+        return F.col(name).isNotNull() & F.col(cleaned).isNull()
+
+    branches = {
+        "key_blank": is_blank("unique_key"),
+        "key_no_number": ~is_blank("unique_key") & F.col("_request_id").isNull(),
+        "key_decimal_tail": F.col("unique_key").contains(".") & F.col("_request_id").isNotNull(),
+        "created_unreadable": lost("created_date", "_created_date"),
+        "created_unreadable_while_open": lost("created_date", "_created_date") & F.col("_closed_date").isNull(),
+        "closed_unreadable": lost("closed_date", "_closed_date"),
+        "closed_not_later": F.col("_closed_date") <= F.col("_created_date"),
+        "agency_name_missing": F.col("_agency_code").isNotNull() & F.col("_agency_name").isNull(),
+        "zip_blank": lost("incident_zip", "_incident_zip"),
+        "zip_literal_none": F.col("_incident_zip") == "N/A",
+        "city_missing": F.col("_borough").isNotNull() & F.col("_city").isNull(),
+        "borough_missing": F.col("_borough").isNull(),
+        "status_unknown": ~F.col("_status").isin(known),
+        "latitude_unreadable": lost("latitude", "_latitude") & (F.col("latitude") != "0"),
+        "latitude_zero": F.col("latitude") == "0",
+        "longitude_with_decimals": F.col("_longitude") != F.floor("_longitude"),
+    }
+    rows = raw(spark, sf_dir).withColumns(spec)
+    counts = rows.agg(*[F.count_if(condition).alias(name) for name, condition in branches.items()])
+    return counts.unpivot([], list(branches), "branch", "row_count")
+
+
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver(raw(spark, sf_dir))
 
@@ -568,7 +600,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     csv_round_trip, csv_multiline_split, first_orders, contract_report, decode_by_header, bronze_from_csv, json_encode_decode, infer_message_fields, insert_absent, ingest_available_twice,
-    streaming_clean, clean_projection, valid_interval_filter, keep_first_per_key, silver_rows, events_calendar,
+    streaming_clean, branch_counts, clean_projection, valid_interval_filter, keep_first_per_key, silver_rows, events_calendar,
     date_parts, code_label_dim, category_dim, surrogate_key_scaled, date_dim, agency_dim, location_dim, complaint_dim,
     status_lookup, lookup_left_join, lookup_nullsafe_join, lookup_salted_join, lookup_renamed_key, hours_to_ship, fact,
     join_back_channel, rollup_by_year, channel_share, channel_share_from_silver, lines_share_of_mode, slowest_owners,

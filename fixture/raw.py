@@ -9,25 +9,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 from civiclake.rules import RAW_COLUMNS
 
+# Dirt goes by order, so that all rows of one key are dirty alike; the moduli are primes, so that kinds of dirt meet.
 _FILLED = {
-    "unique_key": "cast(o_orderkey as {text})",
-    "created_date": "{clock}(o_orderdate + interval '1' day * coalesce(l_linenumber, 0)"
-                    " + interval '1' minute * (coalesce(l_suppkey, 0) % 1440), {format})",
-    "closed_date": "{clock}(l_shipdate + interval '1' minute * (l_partkey % 1440), {format})",
+    # a decimal tail, blanks around, a blank key, a key that is no number
+    "unique_key": "case when o_orderkey % 97 = 5 then cast(o_orderkey as {text}) || '.0'"
+                  " when o_orderkey % 97 = 6 then cast(o_orderkey as {text}) || '.75 '"
+                  " when o_orderkey % 97 = 7 then ' ' || cast(o_orderkey as {text})"
+                  " when o_orderkey % 89 = 13 then '  ' when o_orderkey % 89 = 33 then 'SR-' || cast(o_orderkey as {text})"
+                  " else cast(o_orderkey as {text}) end",
+    # another format, a day and an hour that do not exist, a word
+    "created_date": "case when o_orderkey % 83 = 1 then '1996-02-28 10:00:00'"
+                    " when o_orderkey % 83 = 2 then '02/30/1996 10:00:00 AM' when o_orderkey % 83 = 3 then 'unknown'"
+                    " else {clock}(o_orderdate + interval '1' day * coalesce(l_linenumber, 0)"
+                    " + interval '1' minute * (coalesce(l_suppkey, 0) % 1440), {format}) end",
+    "closed_date": "case when o_orderkey % 79 = 4 then '03/05/1996 13:10:00 PM' when o_orderkey % 79 = 34 then ' '"
+                   " else {clock}(l_shipdate + interval '1' minute * (l_partkey % 1440), {format}) end",
     "agency": "' ' || lower(c_mktsegment) || ' '",
-    "agency_name": "c_mktsegment || ' DEPT'",
-    "problem": "p_name",
+    # up to two names and none for one code
+    "agency_name": "case when o_orderkey % 41 = 1 then null when o_orderkey % 10 = 3 then c_mktsegment || ' division '"
+                   " else c_mktsegment || ' DEPT' end",
+    "problem": "case when o_orderkey % 73 = 6 then null else p_name end",
     "problem_detail": "p_type",
-    "incident_zip": "case when n_nationkey % 5 = 0 then '  '"
+    # blanks, and a word that some data has in place of none
+    "incident_zip": "case when n_nationkey % 5 = 0 then '  ' when o_orderkey % 11 = 2 then 'N/A'"
                     " else ' 1' || lpad(cast(n_nationkey as {text}), 4, '0') end",
     "incident_address": "upper(s_name) || ' '",
-    "city": "n_name",
-    "status": "case o_orderstatus when 'F' then 'Closed' when 'O' then 'open ' else 'Pending' end",
-    "borough": "case when r_name = 'MIDDLE EAST' then 'Unspecified' else lower(r_name) || ' ' end",
+    "city": "case when o_orderkey % 13 = 1 then null else n_name end",
+    "status": "case when o_orderkey % 61 = 7 then 'In Limbo' when o_orderkey % 61 = 37 then null"
+              " else case o_orderstatus when 'F' then 'Closed' when 'O' then 'open ' else 'Pending' end end",
+    "borough": "case when o_orderkey % 53 = 4 then null when r_name = 'MIDDLE EAST' then 'Unspecified'"
+               " else lower(r_name) || ' ' end",
     "open_data_channel_type": "case when o_orderpriority = '4-NOT SPECIFIED' then null"
                               " else substr(lower(o_orderpriority), 3) end",
-    "latitude": "case when l_linenumber = 7 then '0' else cast(cast(s_suppkey + 1 as int) as {text}) end",
-    "longitude": "cast(0 - l_partkey % 180 as {text})",
+    "latitude": "case when l_linenumber = 7 then '0' when o_orderkey % 71 = 3 then 'n/a'"
+                " else cast(cast(s_suppkey + 1 as int) as {text}) end",
+    "longitude": "cast(0 - l_partkey % 180 as {text}) || case when o_orderkey % 2 = 0 then '.25' else '' end",
 }
 
 _SPARK = {"text": "string", "clock": "date_format", "format": "'MM/dd/yyyy hh:mm:ss a'"}

@@ -26,6 +26,11 @@ def test_query(spark, duck, name):
     assert difference(entry.queries()[name](spark, FOLDER), duck, entry.oracle_sql()[name]) is None
 
 
+def test_dirt_takes_every_branch(spark):
+    counts = {row["branch"]: row["row_count"] for row in entry.queries()["branch_counts"](spark, FOLDER).collect()}
+    assert len(counts) == 16 and min(counts.values()) > 0, counts
+
+
 def test_entry(spark):
     result = entry.entry(spark)
     assert result.columns == ["complaint_type", "total"] and 0 < result.count() <= 10
