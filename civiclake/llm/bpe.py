@@ -1,9 +1,13 @@
 """BPE encoding and decoding of whole texts, long ones by tree concatenation.
 
 A long text is cut into halves again and again. The parts are encoded on their own, in parallel, and joined pairwise: a window
-around each join is encoded anew and grows until it agrees with both sides, that is, until it shares a pre-token's start with
-either side, away from all cut ends. What a tokenizer does from a pre-token's start on depends on the text from there alone, so
-the left part up to the first shared start, the window, and the right part from the second are exactly the whole text's tokens.
+around each join is encoded anew and grows until it agrees with both sides, that is, until it shares a segment with either
+side, away from all cut ends. A segment is a pre-token, or, in a pre-token of at least LONG characters, the tokens between two
+places where a token's end is a character's end. At a segment's end both go on alike: at a pre-token's end because a tokenizer
+looks at the text from there alone; inside a pre-token because tokens are a text's BPE exactly if each neighbouring pair is the
+BPE of its own text (a first merge across a border would be the pair's first, too), and the pairs at a shared segment's end
+are pairs of one of the two. So the left part up to the first shared segment's end, the window, and the right part from the
+second's are exactly the whole text's tokens, with or without a gap in it.
 
 Texts of up to SPLIT characters are one row for one task, cut into leaves within it; longer ones are dealt out in pieces.
 """
@@ -34,8 +38,10 @@ SPLIT = 1 << 16
 REACH = 128
 #: Distance of an agreement from any cut end: longer than every special token and every fixed pre-token.
 MARGIN = 16
-#: Pre-tokens whose ids a worker remembers at once.
-REMEMBERED = 120_000
+#: Characters from which on a pre-token has segments.
+LONG = 64
+#: Pre-tokens whose ids a worker remembers at once, and their characters.
+REMEMBERED, REMEMBERED_CHARACTERS = 120_000, 1 << 21
 
 # Below this code point no character composes with another or becomes several; above, the library does all the work.
 _PLAIN_END = 0x180
@@ -56,19 +62,17 @@ _PRE_TOKEN = re.compile(
 
 @dataclass
 class Encoded:
-    """Tokens of a stretch of text: each pre-token's start (in characters of the whole text) and end in ``ids``."""
+    """Tokens of a stretch of text: each segment's start (in characters of the whole text) and end in ``ids``."""
 
     starts: np.ndarray
     ends: np.ndarray
     ids: np.ndarray
 
     def between(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, numbers of ids, and ids of the pre-tokens with numbers in [first, last)."""
-        bounds = np.concatenate(([0], self.ends))
-        return (
-            self.starts[first:last], np.diff(bounds[first:last + 1]) if last > first else np.zeros(0, np.int64),
-            self.ids[bounds[first]:bounds[last]],
-        )
+        """Starts, numbers of ids, and ids of the segments with numbers in [first, last)."""
+        begin = int(self.ends[first - 1]) if first else 0
+        ends = self.ends[first:last]
+        return self.starts[first:last], np.diff(ends, prepend=begin), self.ids[begin:int(ends[-1]) if len(ends) else begin]
 
 
 def _concatenated(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Encoded:
@@ -90,15 +94,19 @@ class Codec:
         self.by_word.normalizer = None
         self.by_word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.strings = [self.whole.id_to_token(k) or "" for k in range(self.whole.get_vocab_size())]
+        # a character of a token's string is a byte; the mark of a word's end is none
+        self.widths = np.array([len(x.removesuffix(self.whole.model.end_of_word_suffix or "")) for x in self.strings])
         self.known: dict[str, bytes] = {}
+        self.characters = 0
 
     def is_plain(self, text: str) -> bool:
         return (text.isascii() or not _PLAIN.search(text)) and not any(x in text for x in self.specials)
 
     def _learn(self, pre_tokens: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if len(self.known) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
+            self.known, self.characters = {}, 0
         new = list({x for x in pre_tokens if x not in self.known})
+        self.characters += sum(map(len, new))
         if new:
             found = self.by_word.encode(new, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, dtype="<u4")
@@ -121,20 +129,47 @@ class Codec:
             return np.frombuffer(b"".join(self._plain_ids(_PRE_TOKEN.findall(text.lower()))), "<u4")
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    def _segments(self, word: str, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where the segments of a plain pre-token start, in its characters, and end, in its ids."""
+        ends = np.cumsum(self.widths[np.frombuffer(ids, "<u4")])
+        first_bytes = (np.frombuffer(word.encode(), np.uint8) & 0xC0) != 0x80
+        if len(word) < LONG or ends[-1] != len(first_bytes):
+            return np.zeros(1, np.int64), np.array([len(ends)], np.int64)
+        whole = np.flatnonzero(first_bytes[ends[:-1]])
+        return (
+            np.concatenate(([0], (np.cumsum(first_bytes) - 1)[ends[whole]])).astype(np.int64),
+            np.concatenate((whole + 1, [len(ends)])).astype(np.int64),
+        )
+
     def spans(self, text: str, offset: int) -> Encoded:
-        """A stretch of text by one pass, with its pre-tokens' places; ``offset`` is where the stretch starts."""
+        """A stretch of text by one pass, with its segments' places; ``offset`` is where the stretch starts."""
         if self.is_plain(text):
             matches = list(_PRE_TOKEN.finditer(text.lower()))
             parts = self._plain_ids([m.group() for m in matches])
-            return Encoded(
-                np.array([m.start() + offset for m in matches], np.int64),
-                np.cumsum(np.array([len(x) // 4 for x in parts], np.int64)), np.frombuffer(b"".join(parts), "<u4"),
-            )
+            starts = np.array([m.start() + offset for m in matches], np.int64)
+            sizes = np.array([len(x) // 4 for x in parts], np.int64)
+            ends = np.cumsum(sizes)
+            long = [k for k, m in enumerate(matches) if m.end() - m.start() >= LONG]
+            if long:
+                inner = [self._segments(matches[k].group(), parts[k]) for k in long]
+                starts = np.sort(np.concatenate(
+                    [np.delete(starts, long), *[x + starts[k] for k, (x, _) in zip(long, inner)]]
+                ))
+                ends = np.sort(np.concatenate(
+                    [np.delete(ends, long), *[x + ends[k] - sizes[k] for k, (_, x) in zip(long, inner)]]
+                ))
+            return Encoded(starts, ends, np.frombuffer(b"".join(parts), "<u4"))
         found = self.whole.encode(text, add_special_tokens=False)
         # tokens of one pre-token share a word number; a special token has none
         words = np.array([-1 - k if w is None else w for k, w in enumerate(found.word_ids)], np.int64)
-        starts = np.array([start for start, _ in found.offsets], np.int64)
-        first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1]))) if len(words) else np.zeros(0, np.int64)
+        starts, stops = np.array(found.offsets, np.int64).reshape(-1, 2).T
+        new = np.concatenate(([True], words[1:] != words[:-1]))[:len(words)]
+        first = np.flatnonzero(new)
+        lengths = stops[np.concatenate((first[1:], [len(words)])) - 1] - starts[first] if len(words) else first
+        long = np.repeat(lengths >= LONG, np.diff(np.concatenate((first, [len(words)]))))
+        # a token that starts within a character starts before its forerunner's end
+        clean = np.concatenate(([True], (starts[1:] >= stops[:-1]) & (starts[1:] > starts[:-1])))[:len(words)]
+        first = np.flatnonzero(new | (long & clean))
         return Encoded(
             starts[first] + offset, np.concatenate((first[1:], [len(words)])) if len(words) else first,
             np.array(found.ids, dtype="<u4"),
@@ -156,8 +191,8 @@ class Codec:
         while True:
             low, high = max(start, middle - reach), min(end, middle + reach)
             window = self.spans(text[low:high], low)
-            first = 0 if low == start else self._shared(text, window.starts, left.starts, low + MARGIN, middle - MARGIN)
-            last = -1 if high == end else self._shared(text, window.starts, right.starts, middle + MARGIN, high - MARGIN)
+            first = 0 if low == start else self._shared(text, window, left, low + MARGIN, middle - MARGIN)
+            last = -1 if high == end else self._shared(text, window, right, middle + MARGIN, high - MARGIN)
             if first is not None and last is not None:
                 before = np.searchsorted(left.starts, first) if low > start else 0
                 after = np.searchsorted(right.starts, last) if high < end else len(right.starts)
@@ -171,10 +206,16 @@ class Codec:
             reach *= 2
 
     @staticmethod
-    def _shared(text: str, window: np.ndarray, side: np.ndarray, low: int, high: int) -> int | None:
-        """A place in [low, high] where a pre-token starts in both, and no character composes with the one before."""
-        near = side[np.searchsorted(side, low):np.searchsorted(side, high, side="right")]
-        for place in np.intersect1d(window, near).tolist():
+    def _shared(text: str, window: Encoded, side: Encoded, low: int, high: int) -> int | None:
+        """A place in [low, high] where a segment ends and one starts in both, and no character composes with the one before."""
+        near = side.starts[np.searchsorted(side.starts, low):np.searchsorted(side.starts, high, side="right")]
+        for place in np.intersect1d(window.starts, near).tolist():
+            at = [(x, int(np.searchsorted(x.starts, place))) for x in (window, side)]
+            if min(k for _, k in at) == 0:
+                continue
+            (start, _, ids), (other, _, others) = (x.between(k - 1, k) for x, k in at)
+            if start[0] != other[0] or not np.array_equal(ids, others):
+                continue
             point = ord(text[place])
             if point < 0x300 or not (unicodedata.category(text[place])[0] == "M" or 0x1100 <= point < 0x1200):
                 return place

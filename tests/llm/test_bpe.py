@@ -37,6 +37,48 @@ def test_tree_gives_the_whole_texts_tokens(library, monkeypatch, plain):
         assert codec.decode(np.array(ids, np.uint32)) == library.decode(ids, skip_special_tokens=False)
 
 
+def _scripts(rng, size):
+    """Texts without a gap: letters, letters of two bytes, symbols, Chinese characters, Hangul, mixed with marks."""
+    yield "".join(rng.choices("etaoinshrdlucmfwypvbgkjqxz", k=size))
+    yield "".join(rng.choices("aeé\u0142\u00f8zABßk", k=size))
+    yield "".join(rng.choices("!?.-=#*+_/'", k=size))
+    yield "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(size))
+    yield "".join(rng.choices("가나다라abc中", k=size))
+    yield "".join(rng.choices("ab\u0301c\u0915\u093c\u0958\u1112\u1161\u11ab", k=size))
+    yield "ab" * (size // 2)
+    yield "a" * size
+    yield "".join(rng.choices(["s", "'s", "'ll", "ll", "'"], k=size // 2))
+
+
+@pytest.mark.parametrize("leaf, reach, long", [(48, 4, 8), (300, 32, 64)])
+def test_tree_inside_a_pre_token(library, monkeypatch, leaf, reach, long):
+    monkeypatch.setattr(bpe, "LEAF", leaf)
+    monkeypatch.setattr(bpe, "REACH", reach)
+    monkeypatch.setattr(bpe, "LONG", long)
+    codec, rng = bpe.Codec(PATH), random.Random(4)
+    for _ in range(12):
+        for text in _scripts(rng, rng.randrange(600, 2500)):
+            assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("script", [0, 2, 3])
+def test_work_on_text_without_a_gap(library, monkeypatch, script):
+    text = list(_scripts(random.Random(5), 400_000))[script]
+    codec, sizes = bpe.Codec(PATH), []
+    spans = codec.spans
+    monkeypatch.setattr(codec, "spans", lambda part, offset: sizes.append(len(part)) or spans(part, offset))
+    assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(sizes) < 2 * len(text) and max(sizes) <= bpe.LEAF
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_CHARACTERS", 1000)
+    codec = bpe.Codec(PATH)
+    for k in range(20):
+        codec.ids("x" * (300 + k))
+    assert sum(map(len, codec.known)) < 2000
+
+
 def test_every_plain_character(library):
     codec = bpe.Codec(PATH)
     for point in range(0x500):
