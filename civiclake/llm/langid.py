@@ -25,6 +25,8 @@ DISCOUNT = 0.75
 UNDETERMINED = "und"
 #: Labelled documents of distinct texts per language that the models are fitted on. Which ones a hash says. All others calibrate.
 FIT_DOCUMENTS = 400
+#: Shares of a language that are cut to their first texts on their own.
+SHARES = 16
 #: Share of a language's calibration documents whose excess is within the one that the limit is made of.
 RECALL = 0.999
 #: Symbols of a text that are looked up at once; bounds memory on very long texts.
@@ -263,9 +265,14 @@ def fit(
         F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
     ).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id"))
     eligible = eligible.withColumn("key", F.xxhash64("text"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "key")
+    order = F.xxhash64("doc_id"), "doc_id", "key"
+    texts = eligible.groupBy("lang", "key").agg(F.min("doc_id").alias("doc_id"))
+    # the first of every share of a language, then the first of those: no task reads a whole language's candidates
+    shares = Window.partitionBy("lang", F.pmod("key", F.lit(SHARES))).orderBy(*order)
+    texts = texts.withColumn("place", F.row_number().over(shares)).where(F.col("place") <= 2 * documents).drop("place")
+    first = Window.partitionBy("lang").orderBy(*order)
     chosen = (
-        eligible.groupBy("lang", "key").agg(F.min("doc_id").alias("doc_id")).withColumn("place", F.row_number().over(first))
+        texts.withColumn("place", F.row_number().over(first))
         .where((F.col("place") <= 2 * documents) & (F.col("place") % 2 == 1)).drop("place")
     )
     chosen = stored(chosen, "lid")  # bounded: documents rows per language
