@@ -28,3 +28,13 @@ def valid_interval(df: DataFrame, start: str, end: str) -> DataFrame:
 def project(df: DataFrame, spec: dict[str, Column]) -> DataFrame:
     """One projection from a ``{name: expression}`` table; unnamed columns go, so scans read only what is used."""
     return df.select(*[expression.alias(name) for name, expression in spec.items()])
+
+
+def worked_out(df: DataFrame, spec: dict[str, Column]) -> DataFrame:
+    """``project``, but each expression is worked out once per row, whatever is done with its result.
+
+    Spark moves filters below a projection and writes a column's expression in wherever the column is named, so a costly one is
+    worked out again for each use. It moves nothing below a generator, and this one gives a single row.
+    """
+    row = F.struct(*[expression.alias(name) for name, expression in spec.items()])
+    return df.select(F.explode(F.array(row)).alias("_row")).select(*[F.col("_row").getField(name).alias(name) for name in spec])

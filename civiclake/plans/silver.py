@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.functions.text import blank_to_null, clock_time, nonzero_number, title_text, upper_text, whole_number
-from civiclake.operators.clean import is_valid_interval, project, require, valid_interval
+from civiclake.operators.clean import is_valid_interval, project, require, valid_interval, worked_out
 from civiclake.operators.dedupe import keep_first
 from civiclake.rules import TIMESTAMP_TEXT
 from civiclake.schemas import SILVER
@@ -48,10 +48,15 @@ def cleaning_spec() -> dict[str, Column]:
 
 
 def clean_rows(bronze: DataFrame) -> DataFrame:
-    """Cleaned rows with a valid interval, duplicates included, with their raw key. Runs on a stream too."""
-    present = require(bronze, [KEY, "created_date"])
-    cleaned = project(present, {KEY: F.col(KEY), **cleaning_spec()})
-    return valid_interval(cleaned, "created_date", "closed_date")
+    """Cleaned rows with a valid interval, duplicates included, with their raw key. Runs on a stream too.
+
+    The raw texts are worked out once, where they are no plain columns, and so are the times; the rest only of valid rows.
+    """
+    texts = worked_out(bronze, {name: F.col(name) for name in [*_USED, *_TIMES]})
+    timed = worked_out(require(texts, [KEY, "created_date"]), {**{name: F.col(name) for name in _USED}, **time_spec()})
+    valid = valid_interval(timed, *_TIMES)
+    spec = {**text_spec(), **{name: F.col(name) for name in _TIMES}}
+    return project(valid, {KEY: F.col(KEY), **{name: spec[name] for name in SILVER.names}})
 
 
 #: What makes a row of a key the first: valid before invalid, then the times, then the raw texts.

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import plan_of, request, values
+from pyspark.sql import functions as F
 
 from civiclake.operators.dedupe import keep_first
 from civiclake.plans.silver import clean_rows, silver
@@ -83,3 +84,15 @@ def test_only_needed_columns_are_read(spark, bronze_rows, tmp_path):
 def test_keep_first_wants_ties(spark):
     with pytest.raises(ValueError):
         keep_first(spark.range(3), ["id"], ["id"], [])
+
+
+def test_texts_and_times_of_all_rows_are_worked_out_once(spark, bronze_rows):
+    """A filter on a computed text or a parsed time works neither out again."""
+    made = F.concat(F.lit("01/02/2015 0"), F.col("unique_key"), F.lit(":00:00 AM"))
+    rows = bronze_rows(request("1"), request("2", closed="01/01/2015 01:00:00 AM"), request(None)).withColumn("created_date", made)
+    found = clean_rows(rows)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100")
+    plan = plan_of(found)
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("gettimestamp") == 2 and plan.count("01/02/2015 0") == 1
+    assert values(found, "unique_key", "request_id") == [("1", 1)]
