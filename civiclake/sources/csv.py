@@ -25,6 +25,8 @@ from civiclake.session import scratch_path
 _FORMAT = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 #: Characters of a piece of a record that a first pass keeps while it does not know how its part starts, and of any record.
 BORDER, MOST = 1 << 20, 1 << 27
+#: Bytes that a task reads, where files are split into smaller parts.
+TASK = 1 << 24
 
 # A quote opens a quoted field only at the field's start, a doubled one is text; after the closing quote, text up to the next comma
 # belongs to the field. A line that is no list of whole fields ends inside quotes.
@@ -161,11 +163,18 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"record": pa.array(held, pa.string())})
 
 
-def _lines(spark: SparkSession, path: str | list[str], starts: DataFrame | None = None) -> DataFrame:
-    """All lines with their file, their part (where it starts) and, if known, the state it starts in (0 outside, 1 inside)."""
+def _tasks(spark: SparkSession, path: str | list[str]) -> int:
+    """How many tasks read the files: some for every core, and as many as have ``TASK`` bytes each."""
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("size")).first()["size"] or 0
+    return max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK))
+
+
+def _lines(spark: SparkSession, path: str | list[str], tasks: int, starts: DataFrame | None = None) -> DataFrame:
+    """All lines with their file, their part (where it starts) and, if known, the state it starts in (0 outside, 1 inside). A task
+    reads its parts one after another, each from its first line to its last."""
     text = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), "value"
-    )
+    ).coalesce(tasks)
     if starts is None:
         return text.select("file", "part", F.lit(None).cast("int").alias("start"), "value")
     # one short row per part of the input, and a part is as large as spark.sql.files.maxPartitionBytes says
@@ -221,7 +230,8 @@ def records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, list
     Empty lines outside quotes are no records; a line of blanks is one. A carriage return at a record's end goes. A header must
     end within its file's first part.
     """
-    parts = _kept(_with_starts(_read_parts(_lines(spark, path), BORDER)), "csv-parts")
+    tasks = _tasks(spark, path)
+    parts = _kept(_with_starts(_read_parts(_lines(spark, path, tasks), BORDER)), "csv-parts")
     starts = parts.select("file", "part", "start")
     first, header = F.col("part") == 0, F.regexp_replace("header", "\r$", "")
     of_file = parts.withColumn("first_header", F.first("header").over(Window.partitionBy("file").orderBy("part")))
@@ -234,9 +244,9 @@ def records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, list
         raise ValueError("a file has no whole header in its first part")
     again, whole = found["again"], parts
     if again:  # pieces longer than BORDER: these files' parts once more, from the state that is known by now
-        longer = _read_parts(_lines(spark, path, starts).where(F.col("file").isin(again)), MOST).join(starts, ["file", "part"])
+        longer = _read_parts(_lines(spark, path, tasks, starts).where(F.col("file").isin(again)), MOST).join(starts, ["file", "part"])
         whole = parts.where(~F.col("file").isin(again)).unionByName(_kept(longer, "csv-long-parts"))
-    within = _lines(spark, path, starts).mapInArrow(_records, "record string")
+    within = _lines(spark, path, tasks, starts).mapInArrow(_records, "record string")
     return within.unionByName(_crossing(whole)), sorted({x for x in (found["least"], found["greatest"]) if x is not None})
 
 

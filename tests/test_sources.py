@@ -54,6 +54,15 @@ def test_rows_do_not_depend_on_how_a_file_is_split(spark, tmp_path, part_bytes,
     assert found == FOREIGN_ROWS + [("9", "two\nlines", None)]
 
 
+def test_small_parts_share_tasks(spark, tmp_path, part_bytes):
+    """A task reads many parts, one after another, so tasks do not grow in number as the parts get smaller."""
+    rows = [(str(k), f"two\nlines {k}") for k in range(1000, 1400)]
+    write_csv_text(spark.createDataFrame(rows, "k string, v string").coalesce(1), str(tmp_path / "csv"))
+    part_bytes(16)
+    found = read_csv_text(spark, str(tmp_path / "csv"), ["k", "v"])
+    assert found.rdd.getNumPartitions() < 100 and values(found) == rows
+
+
 def test_random_files_equal_a_whole_read(spark, tmp_path, part_bytes):
     rng = random.Random(1)
     for k in range(4):
