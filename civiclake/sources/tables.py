@@ -12,9 +12,13 @@ from pyspark.sql.types import StructType
 
 from civiclake.functions.labels import all_true
 from civiclake.operators.dedupe import keep_first
+from civiclake.operators.lookups import data_bytes
 from civiclake.schemas import TABLES
 from civiclake.sources import manifest
 
+#: Of a table's rows in memory, as much as a bucket may hold.
+BUCKET_BYTES = 64 << 20
+
 
 @dataclass(frozen=True)
 class Store:
@@ -171,6 +175,15 @@ def save_as_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFram
     return df.sparkSession.table(name)
 
 
+def buckets_for(tables: list[DataFrame], least: int = 1) -> int:
+    """Into how many buckets tables of that size go, so that no task has to hold and sort much of one: a power of two from ``least``
+    on, and no more than ``BUCKET_BYTES`` of a table's rows in a bucket, unless a key has more than that."""
+    wanted, buckets = max(map(data_bytes, tables)) / BUCKET_BYTES, least
+    while buckets < wanted:
+        buckets *= 2
+    return buckets
+
+
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
     """A catalog table whose rows lie in ``buckets`` files by a hash of ``key``, sorted by it, and return the table.
 

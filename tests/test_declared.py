@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from civiclake.operators.quality import split_rows, with_reasons
 from civiclake.plans import checks, run
 from civiclake.schemas import MESSAGE
+from civiclake.sources import tables
 from civiclake.sources.messages import decode_typed, message_types
 from civiclake.sources.tables import Store, save_bucketed
 from test_versions import batches
@@ -53,6 +54,12 @@ def test_bucketed_tables_are_joined_where_they_lie(spark, tmp_path, nothing_is_s
         spark.sql(f"drop table {name}")
 
 
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 1000)
+    few = spark.range(10)
+    assert [tables.buckets_for([few, spark.range(rows)], 8) for rows in (100, 1000, 10000)] == [8, 16, 256]
+
+
 def test_a_write_that_breaks_its_constraints_changes_nothing(spark, tmp_path):
     store, schema = Store(spark, str(tmp_path)), "k int, v string"
     declared = {"required": ["v"], "key": ["k"]}
