@@ -271,7 +271,8 @@ def surrogate_key_continued(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table as readers see them: after a build of closed requests, after one of all requests that dies half-way, and
     after one that ends; and what a reader that pinned the first build sees at the end."""
-    store, rows = Store(spark, scratch_path(spark, "switch")), raw(spark, sf_dir)
+    store = Store(spark, scratch_path(spark, "switch"))
+    rows = store.write(raw(spark, sf_dir), "request_raw")  # worked out once for the three builds
     run.build(store, rows.where(F.col("status") == "Closed"), **RULES)
     reader = store.pinned()
     seen = [("closed", reader)]
