@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import plan_of, request, values
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from civiclake.operators.numbering import continued_key
@@ -11,6 +12,7 @@ from civiclake.rules import RAW_COLUMNS
 from civiclake.schemas import MESSAGE
 from civiclake.sources.messages import decode_messages
 from civiclake.sources.tables import Draft, Store
+from fixture import queries
 
 TABLES = ["request_cleaned", "date", "agency", "location", "complaint", "status", "requests", "aggregation_complaint_by_year",
           "aggregation_channel_by_borough"]
@@ -104,6 +106,29 @@ def test_only_touched_buckets_are_written(spark, bronze_rows, tmp_path):
         assert changed == {"2", "5"} and len(second[table]) == 4
 
 
+def test_replaced_parts_are_named(spark, tmp_path):
+    draft = Store(spark, str(tmp_path)).draft()
+    rows = spark.createDataFrame([(1, "a"), (-2, "b"), (1, "c"), (3, "d")], "bucket bigint, v string")
+    assert sorted(draft.replace_parts(rows, "t", "bucket", ["1", "-2", "3"])) == ["-2", "1", "3"]
+    kept = draft.tables()["t"]["3"]
+    assert draft.replace_parts(rows.where("bucket = 1"), "t", "bucket", ["1", "-2"]) == ["1"]
+    assert sorted(draft.tables()["t"]) == ["1", "3"] and draft.tables()["t"]["3"] == kept
+
+
+def test_deliveries_are_worked_out_once(spark, bronze_rows, monkeypatch):
+    monkeypatch.setattr(queries, "raw", lambda *_: bronze_rows(request("1", problem_detail="T"), request("2")))
+    assert all("Scan parquet" in plan_of(part) for part in queries._deliveries(spark, ""))
+
+
+def test_builds_share_the_raw_rows(spark, bronze_rows, monkeypatch):
+    built = []
+    monkeypatch.setattr(queries, "raw", lambda *_: bronze_rows(request("1")))
+    monkeypatch.setattr(queries.run, "build", lambda store, rows, **_: built.append(plan_of(rows)))
+    with pytest.raises(PySparkException):  # no tables were built that could be counted
+        queries.build_switch(spark, "")
+    assert len(built) == 3 and all("Scan parquet" in plan for plan in built)
+
+
 def test_a_merge_that_dies_changes_nothing(spark, bronze_rows, tmp_path, monkeypatch):
     store = Store(spark, str(tmp_path))
     incremental.merge(store, bronze_rows(request("1")), "b0")
