@@ -96,3 +96,13 @@ def test_texts_and_times_of_all_rows_are_worked_out_once(spark, bronze_rows):
     spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert plan.count("gettimestamp") == 2 and plan.count("01/02/2015 0") == 1
     assert values(found, "unique_key", "request_id") == [("1", 1)]
+
+
+def test_rows_are_gathered_before_they_are_sorted(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 'hot', cast(id as string))) as key", "id % 7 as day", "id")
+    first = keep_first(rows, ["key"], ["day"], ["id"])
+    plan = plan_of(first)
+    assert plan.count("WindowGroupLimit") == 2, "a key's rows are cut before the window's shuffle"
+    assert "Exchange" in plan[plan.rindex("Sort ["):], "no task sorts all rows of its part of the input"
+    found = {row["key"]: row["id"] for row in first.collect()}
+    assert first.columns == ["key", "day", "id"] and len(found) == 1002 and found[None] == 0 and found["hot"] == 7 and found["5"] == 5
