@@ -2,7 +2,8 @@
 
 Candidates are all runs of key characters as long as the rules' shortest value. A small convolutional network in numpy reads
 each candidate with the text around it. It is trained on the rules' findings (labelled secrets) against candidates that hold
-none, calibrated on a half of the labelled rows it hasn't seen, and its threshold is the highest that keeps the recall asked for.
+none, up to a bounded number of each. Its threshold is the highest that keeps the recall asked for over all labelled secrets that
+it hasn't seen, however many there are.
 """
 
 from __future__ import annotations
@@ -45,7 +46,10 @@ AROUND = 16
 WINDOW = VALUE + 2 * AROUND
 STEP = VALUE // 2
 #: At most so many labelled rows per class, of short and of long values each, are learned from, the first by a hash of their content.
+#: The threshold comes from all labelled secrets.
 SAMPLE = 1500
+#: Distinct secrets that a task holds before it sends them on.
+HELD = 1 << 16
 RECALL = 0.99
 #: Bytes of text that are screened at once, and the error in a logit that single precision is allowed.
 BLOCK = 1 << 15
@@ -126,6 +130,7 @@ class Network:
     threshold: float = 2.0
     least: float = np.inf
     recall: float = 0.0
+    held: int = 0
     _tables: tuple | None = None
 
     def _forward(self, inputs: np.ndarray):
@@ -206,7 +211,15 @@ class Network:
         return maybe
 
     def probabilities(self, contents: list[bytes]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale[0] * self.logits(contents) + self.scale[1], -50, 50)))
+        return self._scaled(self.logits(contents))
+
+    def _scaled(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale[0] * logits + self.scale[1], -50, 50)))
+
+    def judged_from(self, least: float, below: int, held: int) -> None:
+        """Set the threshold to that logit, which so many of the held secrets don't reach."""
+        self.least, self.threshold = least, float(self._scaled(np.array([least]))[0])
+        self.recall, self.held = 1 - below / held, held
 
 
 def _trained(inputs: np.ndarray, labels: np.ndarray, rng: np.random.Generator) -> Network:
@@ -250,33 +263,31 @@ def _trained(inputs: np.ndarray, labels: np.ndarray, rng: np.random.Generator) -
     return net
 
 
-def train(secret: list[bytes], plain: list[bytes], recall: float = RECALL) -> Network | None:
-    """A network from labelled windows, or None if one class has under four rows.
+_LETTERS = np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-", np.uint8)
 
-    Half of the rows, every other one by a hash, are for calibration alone. In both halves each secret is also shown with its
-    value replaced by random key characters, a digit among them, as many or fewer, in a plain row's surroundings, so
-    that neither the network nor the threshold fits one spelling, length or announcement of secrets; more than once, if secrets
-    are fewer than plain rows. Plain rows are also shown in capitals.
-    """
+
+def _replaced(row: bytes, others: list[bytes], rng: np.random.Generator) -> bytes:
+    """A secret's window with random key characters, a digit among them, as many or fewer, in another row's surroundings."""
+    size = len(row[AROUND:AROUND + VALUE].rstrip(b"\0"))
+    if size > LEAST_RUN and rng.random() < 0.5:
+        size = int(rng.integers(LEAST_RUN, size))
+    around = others[rng.integers(len(others))]
+    value = rng.choice(_LETTERS, size)
+    value[rng.integers(size)] = rng.choice(_LETTERS[:10])
+    value = value.tobytes().ljust(VALUE, b"\0")
+    return around[:AROUND] + value + around[AROUND + VALUE:]
+
+
+def _learned(secret: list[bytes], plain: list[bytes]) -> tuple[Network, np.ndarray, list[bytes], int] | None:
+    """A network without a threshold, the logits of the secrets held back, the plain rows held back, and how often each secret
+    is also shown replaced; None if one class has under four rows."""
     secret, plain = (sorted(set(rows), key=lambda row: hashlib.blake2b(row).digest()) for rows in (secret, plain))
     if min(len(secret), len(plain)) < 4:
         return None
     rng = np.random.default_rng(SEED)
-    letters = np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-", np.uint8)
-
-    def replaced(row: bytes, others: list[bytes]) -> bytes:
-        size = len(row[AROUND:AROUND + VALUE].rstrip(b"\0"))
-        if size > LEAST_RUN and rng.random() < 0.5:
-            size = int(rng.integers(LEAST_RUN, size))
-        around = others[rng.integers(len(others))]
-        value = rng.choice(letters, size)
-        value[rng.integers(size)] = rng.choice(letters[:10])
-        value = value.tobytes().ljust(VALUE, b"\0")
-        return around[:AROUND] + value + around[AROUND + VALUE:]
-
     times = max(1, len(plain) // len(secret))
     shown, secrets = (
-        [*secret[k::2], *(replaced(row, plain[k::2]) for row in secret[k::2] * times)] for k in (0, 1)
+        [*secret[k::2], *(_replaced(row, plain[k::2], rng) for row in secret[k::2] * times)] for k in (0, 1)
     )
     rows = shown + plain[::2] + [row.upper() for row in plain[::2]]
     inputs = _SYMBOLS[np.frombuffer(b"".join(rows), np.uint8)].reshape(-1, WINDOW)
@@ -289,11 +300,23 @@ def train(secret: list[bytes], plain: list[bytes], recall: float = RECALL) -> Ne
         error = 1 / (1 + np.exp(-np.clip(a * logits + b, -50, 50))) - smooth
         a, b = a - 0.05 * (error * logits).mean(), b - 0.05 * error.mean()
     net.scale = (max(a, 1e-3), b)
-    found = np.sort(net.probabilities(secrets))
-    place = int(np.floor((1 - recall) * len(found)))
-    net.threshold = float(found[place])
-    net.least = float(np.sort(net.logits(secrets))[place])
-    net.recall = float((found >= net.threshold).mean())
+    return net, logits[:len(secrets)], plain[1::2], times
+
+
+def train(secret: list[bytes], plain: list[bytes], recall: float = RECALL) -> Network | None:
+    """A network from labelled windows, or None if one class has under four rows.
+
+    Half of the rows, every other one by a hash, are for calibration alone. In both halves each secret is also shown with its
+    value replaced by random key characters, a digit among them, as many or fewer, in a plain row's surroundings, so
+    that neither the network nor the threshold fits one spelling, length or announcement of secrets; more than once, if secrets
+    are fewer than plain rows. Plain rows are also shown in capitals.
+    """
+    learned = _learned(secret, plain)
+    if learned is None:
+        return None
+    net, logits = learned[0], np.sort(learned[1])
+    least = logits[int(np.floor((1 - recall) * len(logits)))]
+    net.judged_from(float(least), int((logits < least).sum()), len(logits))
     return net
 
 
@@ -335,9 +358,11 @@ def _shown(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _labelled(sample: int):
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of a task's distinct windows, the first by hash of each class: all that can be among the first of all tasks."""
-        kept: dict[int, dict[bytes, int]] = {kind: {} for kind in range(4)}
+        """A task's distinct windows: all secrets, some more than once, and of the plain ones the first by hash of each length,
+        which are all that can be among the first of all tasks."""
+        kept: dict[int, dict[bytes, int]] = {kind: {} for kind in range(2)}
         limit = dict.fromkeys(kept, 1 << 63)
+        secrets: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 starts, ends, labels = _shown(text)
@@ -351,20 +376,80 @@ def _labelled(sample: int):
                         if len(held) > 2 * sample:
                             held = kept[kind] = dict(sorted(held.items(), key=lambda x: (x[1], x[0]))[:sample])
                             limit[kind] = max(held.values()) + 1
+                    for k in np.flatnonzero(of >= 2):
+                        secrets[rows[k].tobytes()] = int(of[k]), int(hashes[k])
+                    if len(secrets) >= HELD:
+                        yield _sent((kind, found, content) for content, (kind, found) in secrets.items())
+                        secrets = {}
+        yield _sent((kind, found, content) for content, (kind, found) in secrets.items())
         for kind, held in kept.items():
-            held = sorted(held.items(), key=lambda x: (x[1], x[0]))[:sample]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(held), pa.int32()), pa.array([h for _, h in held], pa.int64()),
-                 pa.array([content for content, _ in held], pa.binary())], ["kind", "hash", "content"],
-            )
+            yield _sent((kind, found, content) for content, found in sorted(held.items(), key=lambda x: (x[1], x[0]))[:sample])
 
     return first
 
 
-def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> Network | None:
+def _sent(rows) -> pa.RecordBatch:
+    kinds, hashes, contents = zip(*rows) if (rows := list(rows)) else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(kinds, pa.int32()), pa.array(hashes, pa.int64()), pa.array(contents, pa.binary())], ["kind", "hash", "content"]
+    )
+
+
+def _places(logits: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the logits."""
+    bits = (logits + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
+
+
+def _logit_at(place: int) -> float:
+    return float(np.array([place ^ ((place >> 63) & ((1 << 63) - 1))], dtype=np.int64).view(np.float64)[0])
+
+
+def _judged(secrets: DataFrame, network: Network, others: list[bytes], times: int) -> DataFrame:
+    """The place of each secret's logit and, as in training, of those of its replacements, which depend on its content alone."""
+    sent = secrets.sparkSession.sparkContext.broadcast((network, others))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, others = sent.value
+        for batch in batches:
+            shown = []
+            for content in batch.column("content").to_pylist():
+                rng = np.random.default_rng(list(hashlib.blake2b(content).digest()))
+                shown += [content, *(_replaced(content, others, rng) for _ in range(times))]
+            yield pa.RecordBatch.from_arrays([pa.array(_places(network.logits(shown)), pa.int64())], ["place"])
+
+    return secrets.select("content").mapInArrow(judged, "place long")
+
+
+def _at_share(places: DataFrame, own: np.ndarray, share: float) -> tuple[int, int, int]:
+    """Of ``places`` and ``own`` together in ascending order: the one that many of them, ``share`` of all, come before; how many
+    are less; how many there are. Exact, by 16 bits at a time, so that at most 65,536 counts come to the driver at once."""
+    less, total, rank, prefix = 0, 0, 0, None
+    for shift in (48, 32, 16, 0):
+        if prefix is not None:
+            places = places.where(F.shiftright("place", shift + 16) == prefix)
+            own = own[own >> (shift + 16) == prefix]
+        counts = {row["at"]: row["rows"] for row in places.groupBy(F.shiftright("place", shift).alias("at"))
+                  .agg(F.count(F.lit(1)).alias("rows")).collect()}
+        for at, rows in zip(*np.unique(own >> shift, return_counts=True)):
+            counts[int(at)] = counts.get(int(at), 0) + int(rows)
+        if prefix is None:
+            total = sum(counts.values())
+            rank = int(np.floor(share * total))
+        for prefix in sorted(counts):
+            if less + counts[prefix] > rank:
+                break
+            less += counts[prefix]
+    return prefix, less, total
+
+
+def fit(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE, recall: float = RECALL
+) -> Network | None:
     """A network trained on up to ``sample`` distinct labelled candidates per class out of all of ``docs``.
 
-    Short and long values are classes of their own. Each task sends the first of its windows by hash.
+    Short and long values are classes of their own. Each task sends the first of its plain windows by hash, and all secrets: the
+    threshold is set on every distinct one in ``docs`` that the network was not trained on.
     """
     found = id_and_bytes(docs, id_column, text_column).mapInArrow(_labelled(sample), "kind int, hash long, content binary")
     found = stored(found, "secrets").distinct()
@@ -372,7 +457,18 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
         [bytes(row["content"]) for row in found.where(F.col("kind") == kind).orderBy("hash", "content").limit(sample).collect()]
         for kind in range(4)
     ]
-    return train(rows[2] + rows[3], rows[0] + rows[1])
+    if max(len(rows[2]), len(rows[3])) < sample:
+        return train(rows[2] + rows[3], rows[0] + rows[1], recall)
+    learned = _learned(rows[2] + rows[3], rows[0] + rows[1])
+    if learned is None:
+        return None
+    network, logits, others, times = learned
+    drawn = docs.sparkSession.createDataFrame([(content,) for content in rows[2] + rows[3]], "content binary")
+    rest = found.where(F.col("kind") >= 2).join(F.broadcast(drawn), "content", "left_anti")
+    places = stored(_judged(rest, network, others, times), "secret-places")
+    place, less, total = _at_share(places, _places(logits), 1 - recall)
+    network.judged_from(_logit_at(place), less, total)
+    return network
 
 
 def find(text: bytes, network: Network | None) -> list[tuple[int, int, int]]:

@@ -129,3 +129,35 @@ def test_each_window_is_shown_with_its_own_label():
     first = text.index(b"0123")
     assert len(starts) == sum(len(secrets.windows(text, *run)) for run in secrets.candidates(text))
     assert labels.tolist() == [bool(end > first) for end in ends] and labels.any() and not labels[0]
+
+
+def test_threshold_is_set_on_all_secrets_that_were_not_learned_from(docs, monkeypatch):
+    monkeypatch.setattr(secrets, "HELD", 5)
+    texts = [row["text"].encode() for row in docs.where("text is not null").collect()]
+    labelled = set()
+    for text in texts:
+        starts, ends, labels = secrets._shown(text)
+        rows = secrets._window_rows(text, starts, ends)
+        labelled |= {(bool(end - start >= secrets.LONG), row.tobytes(), found) for start, end, row, found in
+                     zip(starts[labels], ends[labels], rows[labels], secrets._hashes(rows[labels]))}
+    network = secrets.fit(docs, sample=8)
+    drawn = [min(8, sum(wide == long for wide, *_ in labelled)) for long in (False, True)]
+    times = 16 // sum(drawn)
+    assert network.held == (sum(drawn) // 2 + len(labelled) - sum(drawn)) * (1 + times)
+    assert secrets.RECALL <= network.recall < 1 or network.held < 100
+    logits = network.logits([content for _, content, _ in labelled])
+    assert (logits >= network.least).mean() > 0.95
+    assert secrets.fit(docs.repartition(7), sample=8).least == network.least
+
+
+def test_place_of_a_share_is_exact(spark):
+    rng = np.random.default_rng(8)
+    logits = np.concatenate((rng.normal(0, 9, 3000), np.repeat(1.25, 900), [0.0, -0.0, 5e-324, -5e-324, 1e300, -1e300]))
+    places = secrets._places(logits)
+    table = spark.createDataFrame([(int(place),) for place in places[:2500]], "place long")
+    for share in (0.0, 0.01, 0.5, 0.999):
+        place, less, total = secrets._at_share(table, places[2500:], share)
+        expected = np.sort(logits)[int(np.floor(share * len(logits)))]
+        assert secrets._logit_at(place) == expected and total == len(logits) and less == (logits < expected).sum()
+    none = table.where("false")
+    assert secrets._logit_at(secrets._at_share(none, places, 0.5)[0]) == np.sort(logits)[len(logits) // 2]
