@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from civiclake.rules import RAW_COLUMNS
 from civiclake.sources.csv import read_csv_text
 from civiclake.sources.messages import decode_messages, matched_fields, read_kafka
-from civiclake.sources.tables import Store
+from civiclake.sources.tables import Store, slices
 from civiclake.streaming.ingest import append_available
 
 BATCH, STREAM = "request_raw", "request_raw_stream"
@@ -28,12 +28,15 @@ def load(spark, source: str, **options) -> DataFrame:
     raise ValueError(f"unknown source {source!r}: use csv, messages or kafka")
 
 
-def append(raw: DataFrame, store: Store) -> DataFrame:
+def append(raw: DataFrame, store: Store, by: str | None = None) -> DataFrame:
     """Append raw rows to the bronze table. No rows at all is an error; they are counted while they are written, and what was
-    written counts only after that."""
-    written, draft = Observation(), store.draft()
-    draft.write(raw.observe(written, F.count(F.lit(1)).alias("rows")), BATCH, "append")
-    if written.get["rows"] == 0:
+    written counts only after that. With ``by``, for rows that are shuffled on the way, they are worked out in slices by that column."""
+    count, draft = 0, store.draft()
+    for rows in slices(raw, by) if by else [raw]:
+        written = Observation()
+        draft.write(rows.observe(written, F.count(F.lit(1)).alias("rows")), BATCH, "append")
+        count += written.get["rows"]
+    if count == 0:
         raise ValueError("the source has no rows")
     return draft.publish().read(BATCH)
 

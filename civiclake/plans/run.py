@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 
 from civiclake import rules
 from civiclake.plans import reports, star
-from civiclake.plans.silver import silver
+from civiclake.plans.silver import KEY, silver
 from civiclake.session import pin_settings
-from civiclake.sources.tables import Draft, Store
+from civiclake.sources.tables import Draft, Store, slices
 
 
 def _write_all(draft: Draft, tables: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -31,7 +31,10 @@ def _write_all(draft: Draft, tables: dict[str, Callable[[], DataFrame]]) -> dict
 
 
 def _silver(draft: Draft, bronze: DataFrame) -> DataFrame:
-    return draft.write(silver(bronze), "request_cleaned")
+    """Slice by slice of the keys, since all raw rows are shuffled on the way."""
+    for number, rows in enumerate(slices(bronze, KEY)):
+        draft.write(silver(rows), "request_cleaned", "append" if number else "overwrite")
+    return draft.read("request_cleaned")
 
 
 def _star(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,6 +20,33 @@ from civiclake.sources import manifest
 
 #: Of a table's rows in memory, as much as a bucket may hold.
 BUCKET_BYTES = 64 << 20
+#: Bytes of input files whose rows are shuffled at a time, where a table is written slice by slice, and the most slices.
+SLICE_BYTES, MOST_SLICES = 3 << 29, 8
+#: How tables and intermediate ones are written.
+COMPACT = {"compression": "zstd"}
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that the rows are made of; 0 if there are none."""
+    files = [re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(file)) for file in df.inputFiles()]
+    if not files:
+        return 0
+    listed = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(files)
+    return listed.agg(F.sum("length").alias("size")).first()["size"] or 0
+
+
+def slices(df: DataFrame, key: str) -> list[DataFrame]:
+    """The rows in slices by a hash of ``key``, NULL like any value: as many as ``SLICE_BYTES`` fit into the input files.
+
+    Steps that shuffle rows by the key, or by what it is made of, do so for one slice after another, and what one has shuffled is
+    gone before the next begins, so the disk holds a slice's shuffle files and not the table's. Each slice reads the input anew,
+    hence never more than ``MOST_SLICES``.
+    """
+    count = min(-(-input_bytes(df) // SLICE_BYTES), MOST_SLICES)
+    if count < 2:
+        return [df]
+    place = F.pmod(F.xxhash64(key), F.lit(count))
+    return [df.where(place == number) for number in range(count)]
 
 
 @dataclass(frozen=True)
@@ -51,10 +80,12 @@ class Store:
         version, parts = manifest.newest(self.spark, self.root)
         return Draft(self.spark, self.root, {name: dict(folders) for name, folders in parts.items()}, version)
 
-    def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> DataFrame:
-        """Write the table, or append to it, and return it as a scan of what was written, so later steps do not work it out again."""
+    def write(self, df: DataFrame, table: str, mode: str = "overwrite", by: str | None = None) -> DataFrame:
+        """Write the table, or append to it, and return it as a scan of what was written, so later steps do not work it out again.
+        With ``by`` it is worked out in slices by that column."""
         draft = self.draft()
-        draft.write(df, table, mode)
+        for number, rows in enumerate(slices(df, by) if by else [df]):
+            draft.write(rows, table, "append" if number else mode)
         return draft.publish().read(table)
 
     def write_declared(self, df: DataFrame, table: str, required: list[str], key: list[str], mode: str = "overwrite") -> DataFrame:
@@ -124,7 +155,7 @@ class Draft(Store):
     def write(self, df: DataFrame, table: str, mode: str = "overwrite", part: str | None = None) -> DataFrame:
         """A new folder of the table, as its only part or (``append``) one more, named ``part`` or like the folder."""
         folder = self.folder(table)
-        df.write.parquet(self.path(folder))
+        df.write.options(**COMPACT).parquet(self.path(folder))
         held = self.parts.get(table, {}) if mode == "append" else {}
         self.parts[table] = {**held, part or folder: folder}
         self.changed.add(table)
@@ -134,7 +165,7 @@ class Draft(Store):
         """Rows of the named parts, the values of the whole-number column ``by``, in place of what these parts held; returns the
         names of those that have rows. They are asked of ``df``, which should be a scan, so that no folder has to be listed."""
         folder, gone = self.folder(table), set(parts)
-        df.write.partitionBy(by).parquet(self.path(folder))
+        df.write.options(**COMPACT).partitionBy(by).parquet(self.path(folder))
         written = [str(row[by]) for row in df.select(by).distinct().collect()]
         held = {part: place for part, place in self.parts.get(table, {}).items() if part not in gone}
         self.parts[table] = {**held, **{part: f"{folder}/{by}={part}" for part in written}}
@@ -190,5 +221,6 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str |
     Tables with as many buckets by their keys are joined and grouped by them without being moved. ``path`` puts the files there.
     """
     writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer = writer.options(**COMPACT)
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)

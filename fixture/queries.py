@@ -44,7 +44,7 @@ def stored(spark: SparkSession, sf_dir: str) -> Store:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
         store = Store(spark, scratch_path(spark, "store"))
-        rows = store.write(raw(spark, sf_dir), "request_raw")
+        rows = store.write(raw(spark, sf_dir), "request_raw", by="unique_key")
         run.build(store, rows, **RULES)
         _stores[key] = store.pinned()
     return _stores[key]
@@ -276,7 +276,7 @@ def build_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table as readers see them: after a build of closed requests, after one of all requests that dies half-way, and
     after one that ends; and what a reader that pinned the first build sees at the end."""
     store = Store(spark, scratch_path(spark, "switch"))
-    rows = store.write(raw(spark, sf_dir), "request_raw")  # worked out once for the three builds
+    rows = store.write(raw(spark, sf_dir), "request_raw", by="unique_key")  # worked out once for the three builds
     run.build(store, rows.where(F.col("status") == "Closed"), **RULES)
     reader = store.pinned()
     seen = [("closed", reader)]
@@ -589,7 +589,7 @@ def fk_violation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run into a new store, twice over the same bronze rows; rows per table after that."""
     store = Store(spark, scratch_path(spark, "full-build"))
-    rows = bronze.append(raw(spark, sf_dir), store)
+    rows = bronze.append(raw(spark, sf_dir), store, by="unique_key")
     run.build(store, rows, **RULES)
     tables = run.build(store, rows, **RULES)
     counts = [t.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

@@ -6,7 +6,9 @@ The same select list serves Spark and DuckDB; the dialect tables hold the three
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from civiclake.operators.lookups import fits_broadcast
 from civiclake.rules import RAW_COLUMNS
 
 # Dirt goes by order, so that all rows of one key are dirty alike; the moduli are primes, so that kinds of dirt meet.
@@ -59,19 +61,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raw rows: orders without lines count too, as open requests."""
+    """All raw rows: orders without lines count too, as open requests.
+
+    Lines are moved by part while they are narrow, then once by order. Places and suppliers come last, so their texts are not moved
+    where they are measured to be small.
+    """
     orders, customer, nation, region, lineitem, part, supplier = (
         table(spark, sf_dir, name)
         for name in ("orders", "customer", "nation", "region", "lineitem", "part", "supplier")
     )
-    places = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-    places = places.join(region, nation.n_regionkey == region.r_regionkey)
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    suppliers = supplier.select("s_suppkey", "s_name")
+    lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey, "left")
     rows = (
-        orders.join(places, orders.o_custkey == places.c_custkey)
-        .join(lineitem, orders.o_orderkey == lineitem.l_orderkey, "left")
-        .join(part, lineitem.l_partkey == part.p_partkey, "left")
-        .join(supplier, lineitem.l_suppkey == supplier.s_suppkey, "left")
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(_small(places), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_small(suppliers), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
     return rows.selectExpr(*_select_list(_SPARK))
 
