@@ -27,6 +27,8 @@ _FORMAT = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 BORDER, MOST = 1 << 20, 1 << 27
 #: Bytes that a task reads, where files are split into smaller parts.
 TASK = 1 << 24
+#: Rows in a compressed file.
+FILE_ROWS = 200_000
 
 # A quote opens a quoted field only at the field's start, a doubled one is text; after the closing quote, text up to the next comma
 # belongs to the field. A line that is no list of whole fields ends inside quotes.
@@ -271,8 +273,10 @@ def read_csv_text(spark: SparkSession, path: str | list[str], names: list[str])
     return parsed.select(*[F.col(f"row.c{k}").alias(name) for k, name in enumerate(names)])
 
 
-def write_csv_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV that ``read_csv_text`` reads back unchanged (an empty text comes back as NULL)."""
+def write_csv_text(df: DataFrame, path: str, mode: str = "errorifexists", compressed: bool = False) -> None:
+    """CSV that ``read_csv_text`` reads back unchanged (an empty text comes back as NULL). ``compressed`` writes gzip files of at most
+    ``FILE_ROWS`` rows, since such a file is read as one part."""
+    gzip = {"compression": "gzip", "maxRecordsPerFile": str(FILE_ROWS)} if compressed else {}
     df.write.mode(mode).options(
-        **_FORMAT, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", emptyValue=""
+        **_FORMAT, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", emptyValue="", **gzip
     ).csv(path)

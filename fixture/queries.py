@@ -28,7 +28,7 @@ from civiclake.schemas import DATE, MESSAGE
 from civiclake.session import pin_settings, scratch_path
 from civiclake.sources.csv import read_csv_text, write_csv_text
 from civiclake.sources.messages import decode_inferred, decode_messages, decode_typed, encode_messages, matched_fields
-from civiclake.sources.tables import Store, buckets_for, create_tables, save_as_table, save_bucketed
+from civiclake.sources.tables import Store, buckets_for, create_tables, save_as_table, save_bucketed, slices
 from civiclake.streaming.ingest import append_available, stream_message_files
 from fixture.raw import (
     TEST_AGENCY_DEFAULT, TEST_AGENCY_TYPES, TEST_BOROUGH, TEST_BOROUGHS, TEST_CATEGORIES, TEST_CATEGORY_DEFAULT, raw,
@@ -81,7 +81,8 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw-csv")
-    write_csv_text(raw(spark, sf_dir), path)
+    for rows in slices(raw(spark, sf_dir), "unique_key"):
+        write_csv_text(rows, path, "append", compressed=True)
     return bronze.load(spark, "csv", path=path)
 
 

@@ -4,9 +4,11 @@ import time
 
 from civiclake.plans import bronze, run
 from civiclake.session import pin_settings
-from civiclake.sources import tables
+from civiclake.sources import csv, tables
+from civiclake.sources.csv import read_csv_text, write_csv_text
 from civiclake.sources.tables import Store, input_bytes, slices
 from conftest import plan_of, request, values
+from fixture import queries
 from fixture.raw import raw
 
 FOLDER = "/root/testdata/sf0.001"
@@ -71,3 +73,26 @@ def test_what_a_query_shuffled_is_deleted_when_it_ends(spark, tmp_path):
 def test_stored_tables_are_compact(spark, tmp_path):
     Store(spark, str(tmp_path)).write(spark.range(3), "t")
     assert list(tmp_path.glob("data/t/*/*.zstd.parquet"))
+
+
+def test_compressed_files_are_read_back(spark, tmp_path, monkeypatch):
+    """Line breaks in quotes, empty and quoted texts, in files that no task can split."""
+    monkeypatch.setattr(csv, "FILE_ROWS", 7)
+    texts = ["a\nb", 'say "x"', "", " ", ",", "\r", "\n", "end", None]
+    rows = spark.createDataFrame([(str(k), texts[k % len(texts)]) for k in range(50)], "k string, v string").repartition(2)
+    write_csv_text(rows, str(tmp_path / "csv"), compressed=True)
+    files = [file.name for file in (tmp_path / "csv").glob("part-*")]
+    assert len(files) >= 8 and all(name.endswith(".csv.gz") for name in files)
+    read = read_csv_text(spark, str(tmp_path / "csv"), ["k", "v"])
+    assert values(read) == sorted((str(k), texts[k % len(texts)] or None) for k in range(50))
+
+
+def test_bronze_files_are_written_compressed_and_in_slices(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_path", lambda _, label: str(tmp_path / label))
+    monkeypatch.setattr(tables, "SLICE_BYTES", input_bytes(raw(spark, FOLDER)) // 2)
+    found = queries.bronze_from_csv(spark, FOLDER)
+    files = list((tmp_path / "raw-csv").glob("part-*"))
+    assert len({file.name.split("-c0")[0].split("-", 2)[2] for file in files}) == 3, "three writes"
+    assert all(file.name.endswith(".csv.gz") for file in files)
+    texts = raw(spark, FOLDER)
+    assert found.count() == texts.count() and found.exceptAll(texts.replace("", None)).isEmpty()
