@@ -1,8 +1,10 @@
 """How much disk a step takes at a time: slices of a table, shuffle files, compressed tables."""
 
 import time
+from contextlib import contextmanager
+from pathlib import Path
 
-from civiclake.plans import bronze, run
+from civiclake.plans import bronze, incremental, run
 from civiclake.session import pin_settings
 from civiclake.sources import csv, tables
 from civiclake.sources.csv import read_csv_text, write_csv_text
@@ -44,6 +46,7 @@ def test_tables_built_in_slices_are_the_same(spark, bronze_rows, tmp_path, monke
     rows.write.parquet(str(tmp_path / "rows"))
     rows = spark.read.parquet(str(tmp_path / "rows"))
     monkeypatch.setattr(tables, "SLICE_BYTES", 1)
+    monkeypatch.setattr(tables, "MOST_SLICES", 3)
     held = bronze.append(rows, stores[1], by="unique_key")
     assert held.count() == 121 and len(stores[1].tables()["request_raw"]) == tables.MOST_SLICES
     sliced = run.build(stores[1], held)
@@ -96,3 +99,59 @@ def test_bronze_files_are_written_compressed_and_in_slices(spark, tmp_path, monk
     assert all(file.name.endswith(".csv.gz") for file in files)
     texts = raw(spark, FOLDER)
     assert found.count() == texts.count() and found.exceptAll(texts.replace("", None)).isEmpty()
+
+
+def test_a_merge_in_slices_is_the_same_and_leaves_no_scratch_tables(spark, bronze_rows, tmp_path, monkeypatch):
+    batches = [[request(str(k * 17 % 4000 + shift), f"0{1 + (k + shift) % 9}/05/2015 01:00:00 AM", problem=f"P{k % 5}") for k in range(90)]
+               + [request("x", borough="bronx"), request(None)] for shift in (0, 17)]
+    stores = [Store(spark, str(tmp_path / name)) for name in ("whole", "sliced")]
+    monkeypatch.setattr(incremental, "scratch_database", made := Databases())
+    for store, most in zip(stores, (1, 2)):
+        monkeypatch.setattr(tables, "SLICE_BYTES", 1)
+        monkeypatch.setattr(tables, "MOST_SLICES", most)
+        for k, batch in enumerate(batches):
+            incremental.merge(store, bronze_rows(*batch), f"b{k}", width=3000)
+    assert made.dropped == 4 and made.most > 1, "several slices"
+    assert values(stores[0].read("request_cleaned")) == values(stores[1].read("request_cleaned"))
+    for rollup in (incremental.complaint_by_year, incremental.channel_by_borough):
+        assert values(rollup(stores[0])) == values(rollup(stores[1]))
+
+
+class Databases:
+    """Makes scratch databases, and notes whether they are gone afterwards and the most files that held changes, one per slice."""
+
+    def __init__(self):
+        self.dropped, self.most = 0, 0
+
+    @contextmanager
+    def __call__(self, spark):
+        with tables.scratch_database(spark) as name:
+            yield name
+            assert [row.tableName for row in spark.sql(f"SHOW TABLES IN {name}").collect()] == ["arrived", "changes"]
+            folder = spark.sql(f"DESCRIBE DATABASE {name}").where("info_name = 'Location'").first().info_value
+            self.most = max(self.most, len({file.split("-c0")[0].split("-", 2)[2] for file in spark.table(f"{name}.changes").inputFiles()}))
+        self.dropped += not spark.catalog.databaseExists(name.strip("`")) and not Path(folder.removeprefix("file:")).exists()
+
+
+def test_deliveries_and_taken_messages_are_deleted(spark, bronze_rows, tmp_path, monkeypatch):
+    kinds, left = ["T", "N", "A"], []
+    rows = [request(str(k), f"01/0{1 + k % 9}/2015 01:00:00 AM", problem_detail=kinds[k % 3]) for k in range(30)]
+    monkeypatch.setattr(queries, "raw", lambda *_: bronze_rows(*rows))
+    monkeypatch.setattr(queries, "scratch_path", lambda _, label: str(tmp_path / label))
+    follow = incremental.follow
+
+    def followed(messages, store, **options):
+        names = [row.tableName for row in spark.sql("SHOW DATABASES LIKE 'scratch_*'").collect() for row in spark.sql(f"SHOW TABLES IN {row.namespace}").collect()]
+        follow(messages, store, **options)
+        left.append((names, {file.name for file in Path(store.path("messages")).glob("part-*")}))
+
+    monkeypatch.setattr(queries.incremental, "follow", followed)
+    store = queries.merged(spark, "made up")
+    assert values(store.read("request_cleaned"), "request_id") == [(k,) for k in range(30)]
+    assert [names for names, _ in left] == [["deliveries"], ["deliveries"], []]
+    first = left[0][1]
+    end = time.time() + 20
+    while first & {file.name for file in (tmp_path / "merged" / "messages").glob("part-*")} and time.time() < end:
+        time.sleep(0.2)
+    assert first and not first & {file.name for file in (tmp_path / "merged" / "messages").glob("part-*")}
+    assert left[2][1] - left[1][1], "messages of the last run stay"
