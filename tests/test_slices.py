@@ -117,6 +117,11 @@ def test_a_merge_in_slices_is_the_same_and_leaves_no_scratch_tables(spark, bronz
         assert values(rollup(stores[0])) == values(rollup(stores[1]))
 
 
+def tables_in(spark, database: str) -> list[str]:
+    """Without the temporary views of the session, which are listed with any database."""
+    return [row.tableName for row in spark.sql(f"SHOW TABLES IN {database}").collect() if not row.isTemporary]
+
+
 class Databases:
     """Makes scratch databases, and notes whether they are gone afterwards and the most files that held changes, one per slice."""
 
@@ -127,7 +132,7 @@ class Databases:
     def __call__(self, spark):
         with tables.scratch_database(spark) as name:
             yield name
-            assert [row.tableName for row in spark.sql(f"SHOW TABLES IN {name}").collect()] == ["arrived", "changes"]
+            assert tables_in(spark, name) == ["arrived", "changes"]
             folder = spark.sql(f"DESCRIBE DATABASE {name}").where("info_name = 'Location'").first().info_value
             self.most = max(self.most, len({file.split("-c0")[0].split("-", 2)[2] for file in spark.table(f"{name}.changes").inputFiles()}))
         self.dropped += not spark.catalog.databaseExists(name.strip("`")) and not Path(folder.removeprefix("file:")).exists()
@@ -141,7 +146,7 @@ def test_deliveries_and_taken_messages_are_deleted(spark, bronze_rows, tmp_path,
     follow = incremental.follow
 
     def followed(messages, store, **options):
-        names = [row.tableName for row in spark.sql("SHOW DATABASES LIKE 'scratch_*'").collect() for row in spark.sql(f"SHOW TABLES IN {row.namespace}").collect()]
+        names = [name for row in spark.sql("SHOW DATABASES LIKE 'scratch_*'").collect() for name in tables_in(spark, row.namespace)]
         follow(messages, store, **options)
         left.append((names, {file.name for file in Path(store.path("messages")).glob("part-*")}))
 
